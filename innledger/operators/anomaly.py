@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from innledger.functions.columns import holds, sla_breached
 from innledger.operators.silver import clock
+from innledger.operators.skew import salted_join
 from innledger.values import CANCEL_THRESHOLD, CANCEL_WINDOW_HOURS, MISMATCH_TOLERANCE
 
 
@@ -65,7 +66,7 @@ def flag_suspicious_cancels(
         .where(F.col("count") > threshold)
         .select("_suspect")
     )
-    joined = reservations.join(suspects, F.col("guest_sk") == F.col("_suspect"), "left")
+    joined = salted_join(reservations, suspects, "guest_sk", "_suspect", ["reservation_id"], "left")
     flag = holds(cancelled & F.col("_suspect").isNotNull())
     return joined.withColumn("is_suspicious_cancel", flag).select(*reservations.columns)
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from innledger.functions.columns import any_of, holds
 from innledger.operators.dedup import latest_if
 from innledger.operators.silver import clock, valid_guest
+from innledger.operators.skew import salted_join
 from innledger.values import (
     GUEST_OVERWRITE,
     GUEST_TRACKED,
@@ -129,8 +130,8 @@ def merge_rooms(target: DataFrame, source: DataFrame, as_of: dt.date, batch_ts:
 
 def changed_history(versions: DataFrame, key: str) -> DataFrame:
     """Every version of the keys that have more than one."""
-    repeated = versions.groupBy(key).count().where("count > 1")
-    return versions.join(repeated, key, "left_semi")
+    repeated = versions.groupBy(F.col(key).alias("_key")).count().where("count > 1").select("_key")
+    return salted_join(versions, repeated, key, "_key", [key, "scd_version"], "left_semi")
 
 
 def merge_summary(merged: DataFrame, table: str) -> DataFrame:

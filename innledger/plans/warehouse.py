@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from innledger.operators import anomaly, dq, gold, scd, silver
 from innledger.operators.keys import PART, POSITION, assign_keys, with_positions
-from innledger.session import content_stamp, new_folder
+from innledger.session import content_stamp, fit_shuffles, new_folder
 from innledger.sources.sample_views import SOURCE_TABLES, raw_view
 
 # Clock of the sample pipeline: first load, merge of the increments, look-back for cancellations.
@@ -32,6 +32,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._sources: dict[str, DataFrame] = {}
         self._schemas: dict[str, StructType] = {}
         self._lock = threading.RLock()
 
@@ -39,8 +40,14 @@ class Warehouse:
     def root(self) -> str:
         return new_folder(self.spark, "warehouse")
 
+    def source(self, name: str) -> DataFrame:
+        """A sample table; its files are listed and its schema read once."""
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._sources[name]
+
     def raw(self, name: str) -> DataFrame:
-        return raw_view(self.spark, self.sf_dir, name)
+        return raw_view(self.spark, name, self.source)
 
     def raws(self) -> dict[str, DataFrame]:
         return {name: self.raw(name) for name in dq.ROW_RULES}
@@ -148,5 +155,6 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     identity = (spark.sparkContext.applicationId, sf_dir, stamps)
     with _open_lock:
         if identity not in _open:
+            fit_shuffles(spark, max(size for size, _, _ in stamps))
             _open[identity] = Warehouse(spark, sf_dir)
         return _open[identity]

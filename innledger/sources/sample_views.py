@@ -8,6 +8,8 @@ SQL engine used for checking.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 SOURCE_TABLES = {
@@ -119,10 +121,10 @@ def view_sql(name: str, clock: str = "TIMESTAMP") -> str:
     return VIEWS[name].replace("{ntz}", clock + " ").strip()
 
 
-def raw_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw entity over the sample tables in `sf_dir`."""
+def raw_view(spark: SparkSession, name: str, read: Callable[[str], DataFrame]) -> DataFrame:
+    """One raw entity; `read` opens a sample table."""
     text = view_sql(name, "TIMESTAMP_NTZ")
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCE_TABLES[name]}
+    tables = {t: read(t) for t in SOURCE_TABLES[name]}
     for table in tables:
         text = text.replace(f"FROM {table}", f"FROM {{{table}}}").replace(f"JOIN {table}", f"JOIN {{{table}}}")
     return spark.sql(text, **tables)
