@@ -99,6 +99,24 @@ def flag_reservations(
     return flag_suspicious_cancels(flag_double_bookings(reservations), as_of, hours, threshold)
 
 
+def run_anomalies(
+    reservations: DataFrame,
+    tasks: DataFrame,
+    bills: DataFrame,
+    rooms: DataFrame,
+    as_of: dt.datetime,
+    hours: int = CANCEL_WINDOW_HOURS,
+    threshold: int = CANCEL_THRESHOLD,
+    tolerance: float = MISMATCH_TOLERANCE,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All four detections: the flagged reservation, housekeeping and billing facts."""
+    return (
+        flag_reservations(reservations, as_of, hours, threshold),
+        refresh_sla_flags(tasks),
+        flag_billing_mismatches(bills, reservations, rooms, tolerance),
+    )
+
+
 def anomaly_summary(reservations: DataFrame, tasks: DataFrame, bills: DataFrame) -> DataFrame:
     """One row with the number of rows behind each flag."""
     from_tasks = tasks.agg(

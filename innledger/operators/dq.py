@@ -279,47 +279,61 @@ def run_orphans(
     return orphans.select(F.inline(F.array(rule.entry())))
 
 
-def payment_before_booking(bills: DataFrame, reservations: DataFrame) -> DataFrame:
-    """Bills paid before their reservation was made, as log entries."""
-    booked = reservations.select("reservation_id", "booking_time")
-    early = (
-        bills.where(F.col("bill_id").isNotNull())
-        .select("bill_id", "reservation_id", "payment_time")
-        .join(booked, "reservation_id")
-        .where(F.col("payment_time") < F.col("booking_time"))
-    )
-    rule = Rule(
-        "dq_billing_payment_before_booking",
-        "RAW_BILLING",
-        "bill_id",
-        "TEMPORAL",
-        "payment_time is before booking_time",
-        F.lit(True),
-        _text(
-            "payment=", clock_text(F.col("payment_time")), " | booking=", clock_text(F.col("booking_time"))
+def billing_relation_rules() -> list[Rule]:
+    """Rules over bills with the booking they refer to; both come from one join."""
+    known = F.col("bill_id").isNotNull()
+    paid, booked = F.col("payment_time"), F.col("_booking_time")
+    return [
+        Rule(
+            "dq_billing_orphan_res",
+            "RAW_BILLING",
+            "bill_id",
+            "REFERENTIAL",
+            "reservation_id not found in VAL_RESERVATIONS",
+            known & F.col("reservation_id").isNotNull() & F.col("_booking_id").isNull(),
+            _text("reservation_id=", F.col("reservation_id")),
         ),
+        Rule(
+            "dq_billing_payment_before_booking",
+            "RAW_BILLING",
+            "bill_id",
+            "TEMPORAL",
+            "payment_time is before booking_time",
+            known & F.col("_booking_id").isNotNull() & (paid < booked),
+            _text("payment=", clock_text(paid), " | booking=", clock_text(booked)),
+        ),
+    ]
+
+
+def bills_with_bookings(bills: DataFrame, reservations: DataFrame) -> DataFrame:
+    booked = reservations.select(
+        F.col("reservation_id").alias("_booking_id"), F.col("booking_time").alias("_booking_time")
     )
-    return early.select(F.inline(F.array(rule.entry())))
+    paid = bills.select("bill_id", "reservation_id", "payment_time")
+    return paid.join(booked, F.col("reservation_id") == F.col("_booking_id"), "left")
 
 
 def relation_checks(
     raw: dict[str, DataFrame], guests: DataFrame, rooms: DataFrame, reservations: DataFrame
-) -> dict[str, DataFrame]:
-    """Log entries of the rules that compare two tables; dimensions count with their current rows."""
+) -> dict[tuple[str, ...], DataFrame]:
+    """Log entries of the rules that compare two tables, by the names of the rules they answer.
+
+    Dimensions count with their current rows.
+    """
     guests, rooms = guests.where("is_current"), rooms.where("is_current")
-    res, hk, bills = raw["raw_reservations"], raw["raw_housekeeping"], raw["raw_billing"]
+    res, hk = raw["raw_reservations"], raw["raw_housekeeping"]
+    billing = billing_relation_rules()
     return {
-        "dq_res_orphan_guest": run_orphans(
+        ("dq_res_orphan_guest",): run_orphans(
             res, guests, "reservation_id", "guest_id", "RAW_RESERVATIONS", "VAL_GUESTS"
         ),
-        "dq_res_orphan_room": run_orphans(
+        ("dq_res_orphan_room",): run_orphans(
             res, rooms, "reservation_id", "room_id", "RAW_RESERVATIONS", "VAL_ROOMS"
         ),
-        "dq_hk_orphan_room": run_orphans(hk, rooms, "task_id", "room_id", "RAW_HOUSEKEEPING", "VAL_ROOMS"),
-        "dq_billing_orphan_res": run_orphans(
-            bills, reservations, "bill_id", "reservation_id", "RAW_BILLING", "VAL_RESERVATIONS"
+        ("dq_hk_orphan_room",): run_orphans(hk, rooms, "task_id", "room_id", "RAW_HOUSEKEEPING", "VAL_ROOMS"),
+        tuple(r.name for r in billing): run_rules(
+            bills_with_bookings(raw["raw_billing"], reservations), billing
         ),
-        "dq_billing_payment_before_booking": payment_before_booking(bills, reservations),
     }
 
 

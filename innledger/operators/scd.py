@@ -32,7 +32,6 @@ def scd2_merge(
     key: str,
     tracked: Sequence[str],
     overwrite: Sequence[str],
-    as_of: dt.date,
     batch_ts: dt.datetime,
     valid: Column,
     overwrite_where: Column | None = None,
@@ -42,9 +41,10 @@ def scd2_merge(
 
     A change in a tracked column of the latest valid source row ends the current version and opens the
     next one. The overwrite columns of the current version follow the latest source row that passes
-    `overwrite_where`. Unknown keys open version 1 when valid. Comparison ignores NULL unless
+    `overwrite_where`. Unknown keys open version 1 when valid. Versions start on the day of `batch_ts`. Comparison ignores NULL unless
     `null_safe`. Actions: history, unchanged, overwritten, expired, new_version, inserted.
     """
+    as_of = batch_ts.date()
     audit = ("_loaded_at", "_source_file")
     columns = target.columns
     business = [c for c in columns if c not in (*SCD_COLUMNS, *audit)]
@@ -105,14 +105,14 @@ def scd2_merge(
     return both.select(F.inline(outcome)).unionByName(history)
 
 
-def merge_guests(target: DataFrame, source: DataFrame, as_of: dt.date, batch_ts: dt.datetime) -> DataFrame:
+def merge_guests(target: DataFrame, source: DataFrame, batch_ts: dt.datetime) -> DataFrame:
     """Tier changes make versions; contact data is overwritten even if the tier is not valid."""
     return scd2_merge(
-        target, source, "guest_id", GUEST_TRACKED, GUEST_OVERWRITE, as_of, batch_ts, valid=valid_guest()
+        target, source, "guest_id", GUEST_TRACKED, GUEST_OVERWRITE, batch_ts, valid=valid_guest()
     )
 
 
-def merge_rooms(target: DataFrame, source: DataFrame, as_of: dt.date, batch_ts: dt.datetime) -> DataFrame:
+def merge_rooms(target: DataFrame, source: DataFrame, batch_ts: dt.datetime) -> DataFrame:
     """Price or amenity changes make versions; a room never takes over a capacity of zero or less."""
     has_capacity = F.col("capacity") > 0
     return scd2_merge(
@@ -121,7 +121,6 @@ def merge_rooms(target: DataFrame, source: DataFrame, as_of: dt.date, batch_ts:
         "room_id",
         ROOM_TRACKED,
         ROOM_OVERWRITE,
-        as_of,
         batch_ts,
         valid=has_capacity & (F.col("base_price") >= 0),
         overwrite_where=has_capacity,

@@ -72,11 +72,11 @@ def valid_bill() -> Column:
     )
 
 
-def _first_version(valid: DataFrame, as_of: dt.date, batch_ts: dt.datetime) -> DataFrame:
+def _first_version(valid: DataFrame, batch_ts: dt.datetime) -> DataFrame:
     business = [c for c in valid.columns if not c.startswith("_")]
     return valid.select(
         *business,
-        F.lit(as_of).alias("scd_start_date"),
+        F.lit(batch_ts.date()).alias("scd_start_date"),
         F.lit(OPEN_END_DATE).cast("date").alias("scd_end_date"),
         F.lit(True).alias("is_current"),
         F.lit(1).alias("scd_version"),
@@ -85,12 +85,12 @@ def _first_version(valid: DataFrame, as_of: dt.date, batch_ts: dt.datetime) -> D
     )
 
 
-def silver_guests(raw: DataFrame, as_of: dt.date, batch_ts: dt.datetime) -> DataFrame:
-    return _first_version(dedup_latest(raw.where(valid_guest()), ["guest_id"]), as_of, batch_ts)
+def silver_guests(raw: DataFrame, batch_ts: dt.datetime) -> DataFrame:
+    return _first_version(dedup_latest(raw.where(valid_guest()), ["guest_id"]), batch_ts)
 
 
-def silver_rooms(raw: DataFrame, as_of: dt.date, batch_ts: dt.datetime) -> DataFrame:
-    return _first_version(dedup_latest(raw.where(valid_room()), ["room_id"]), as_of, batch_ts)
+def silver_rooms(raw: DataFrame, batch_ts: dt.datetime) -> DataFrame:
+    return _first_version(dedup_latest(raw.where(valid_room()), ["room_id"]), batch_ts)
 
 
 def silver_reservations(raw: DataFrame, batch_ts: dt.datetime) -> DataFrame:

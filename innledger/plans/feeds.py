@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innledger.operators import scd, silver
-from innledger.plans.warehouse import LOAD_TS, MERGE_DAY, MERGE_TS, Warehouse
+from innledger.plans.warehouse import Warehouse
 from innledger.session import new_folder
 from innledger.sources.csv_ingest import (
     append_raw,
@@ -15,6 +15,7 @@ from innledger.sources.csv_ingest import (
     increment_rows,
     parse_layout,
     read_csv_raw,
+    source_manifest,
 )
 from innledger.streaming.incremental import merge_increments
 from innledger.values import RAW_LAYOUTS, STAGE_NULL_TOKENS
@@ -47,7 +48,7 @@ def ingest_csv_nulls(w: Warehouse) -> DataFrame:
     }
     path = _extract(w, "guests", faults)
     layout = RAW_LAYOUTS["guests"]
-    raw = read_csv_raw(w.spark, path, layout, LOAD_TS, STAGE_NULL_TOKENS, trim=True)
+    raw = read_csv_raw(w.spark, path, layout, w.clock.loaded, STAGE_NULL_TOKENS, trim=True)
     return cast_lenient(raw, layout).drop("_file_name")
 
 
@@ -65,7 +66,7 @@ def ingest_try_cast(w: Warehouse) -> DataFrame:
     }
     path = _extract(w, "reservations", faults)
     layout = RAW_LAYOUTS["reservations"]
-    return cast_lenient(read_csv_raw(w.spark, path, layout, LOAD_TS), layout).drop("_file_name")
+    return cast_lenient(read_csv_raw(w.spark, path, layout, w.clock.loaded), layout).drop("_file_name")
 
 
 def _strict_tasks(w: Warehouse) -> tuple[DataFrame, DataFrame]:
@@ -75,7 +76,7 @@ def _strict_tasks(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     }
     path = _extract(w, "housekeeping", faults)
     layout = RAW_LAYOUTS["housekeeping"]
-    return cast_strict(read_csv_raw(w.spark, path, layout, LOAD_TS), layout)
+    return cast_strict(read_csv_raw(w.spark, path, layout, w.clock.loaded), layout)
 
 
 def ingest_reject_rows(w: Warehouse) -> DataFrame:
@@ -88,12 +89,17 @@ def ingest_reject_log(w: Warehouse) -> DataFrame:
     return _strict_tasks(w)[1].select("task_id", "start_time", "issue_detected_flag", "rejected_columns")
 
 
+def sample_manifest(w: Warehouse) -> DataFrame:
+    """Files and bytes of every sample table."""
+    return source_manifest(w.spark, w.source, "*.parquet")
+
+
 def bronze_append_reload(w: Warehouse) -> DataFrame:
     """Reservations loaded twice, then validated: the copies leave no trace."""
     path = new_folder(w.spark, "raw-reservations")
     for _ in range(2):
         append_raw(w.raw("raw_reservations"), path)
-    return silver.silver_reservations(w.spark.read.parquet(path), LOAD_TS)
+    return silver.silver_reservations(w.spark.read.parquet(path), w.clock.loaded)
 
 
 def increment_guests(w: Warehouse) -> DataFrame:
@@ -115,5 +121,5 @@ def stream_merge_rooms(w: Warehouse) -> DataFrame:
         initial=w.path("silver_rooms"),
         snapshots=f"{folder}/snapshots",
         checkpoint=f"{folder}/checkpoint",
-        merge=lambda old, new: scd.merge_rooms(old, new, MERGE_DAY, MERGE_TS),
+        merge=lambda old, new: scd.merge_rooms(old, new, w.clock.merged),
     )

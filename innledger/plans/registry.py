@@ -10,15 +10,8 @@ from pyspark.sql import functions as F
 from innledger.operators import anomaly, dq, gold, scd, silver
 from innledger.operators.dedup import dedup_latest
 from innledger.plans import dashboard, feeds, kpi, reports
-from innledger.plans.warehouse import (
-    CANCELS_AS_OF,
-    CANCELS_HOURS,
-    CANCELS_THRESHOLD,
-    LOAD_TS,
-    Warehouse,
-    warehouse,
-)
-from innledger.sources import csv_ingest, synthetic
+from innledger.plans.warehouse import Warehouse, warehouse
+from innledger.sources import synthetic
 
 Query = Callable[[Warehouse], DataFrame]
 
@@ -34,11 +27,18 @@ def _row_rule(table: str, name: str) -> Query:
     return run
 
 
-def _relation_rule(name: str) -> Query:
+def _orphans(table: str, key: str, ref: str, parent: str, parent_name: str) -> Query:
     def run(w: Warehouse) -> DataFrame:
-        return dq.relation_checks(
-            w.raws(), w.table("silver_guests"), w.table("silver_rooms"), w.table("silver_reservations")
-        )[name]
+        current = w.table(parent).where("is_current")
+        return dq.run_orphans(w.raw(table), current, key, ref, table.upper(), parent_name)
+
+    return run
+
+
+def _billing_relation(name: str) -> Query:
+    def run(w: Warehouse) -> DataFrame:
+        joined = dq.bills_with_bookings(w.raw("raw_billing"), w.table("silver_reservations"))
+        return dq.run_rules(joined, [r for r in dq.billing_relation_rules() if r.name == name])
 
     return run
 
@@ -121,7 +121,7 @@ QUERIES: dict[str, Query] = {
     "ingest_reject_rows": feeds.ingest_reject_rows,
     "ingest_reject_log": feeds.ingest_reject_log,
     "bronze_append_reload": feeds.bronze_append_reload,
-    "source_manifest": lambda w: csv_ingest.source_manifest(w.spark, w.sf_dir, "*.parquet"),
+    "source_manifest": feeds.sample_manifest,
     "inc_file_filter": feeds.increment_guests,
     "synthetic_reservations": lambda w: synthetic.synthetic_reservations(
         w.raw("raw_reservations").select("reservation_id"), "reservation_id"
@@ -160,15 +160,19 @@ QUERIES: dict[str, Query] = {
     "dq_room_status": _row_rule("raw_rooms", "dq_room_status"),
     "dq_res_dates": _row_rule("raw_reservations", "dq_res_dates"),
     "dq_res_cancel_late": _row_rule("raw_reservations", "dq_res_cancel_late"),
-    "dq_res_orphan_guest": _relation_rule("dq_res_orphan_guest"),
-    "dq_res_orphan_room": _relation_rule("dq_res_orphan_room"),
+    "dq_res_orphan_guest": _orphans(
+        "raw_reservations", "reservation_id", "guest_id", "silver_guests", "VAL_GUESTS"
+    ),
+    "dq_res_orphan_room": _orphans(
+        "raw_reservations", "reservation_id", "room_id", "silver_rooms", "VAL_ROOMS"
+    ),
     "dq_res_status": _row_rule("raw_reservations", "dq_res_status"),
     "dq_hk_times": _row_rule("raw_housekeeping", "dq_hk_times"),
-    "dq_hk_orphan_room": _relation_rule("dq_hk_orphan_room"),
+    "dq_hk_orphan_room": _orphans("raw_housekeeping", "task_id", "room_id", "silver_rooms", "VAL_ROOMS"),
     "dq_hk_task_type": _row_rule("raw_housekeeping", "dq_hk_task_type"),
     "dq_billing_negative": _row_rule("raw_billing", "dq_billing_negative"),
-    "dq_billing_orphan_res": _relation_rule("dq_billing_orphan_res"),
-    "dq_billing_payment_before_booking": _relation_rule("dq_billing_payment_before_booking"),
+    "dq_billing_orphan_res": _billing_relation("dq_billing_orphan_res"),
+    "dq_billing_payment_before_booking": _billing_relation("dq_billing_payment_before_booking"),
     "vc_total_amount": _row_rule("raw_billing", "vc_total_amount"),
     "vc_taxes": _row_rule("raw_billing", "vc_taxes"),
     "vc_discounts": _row_rule("raw_billing", "vc_discounts"),
@@ -228,7 +232,7 @@ QUERIES: dict[str, Query] = {
     ),
     "anomaly_suspicious_cancel": lambda w: _flag(
         anomaly.flag_suspicious_cancels(
-            w.table("reservation_load"), CANCELS_AS_OF, CANCELS_HOURS, CANCELS_THRESHOLD
+            w.table("reservation_load"), w.clock.cancels_as_of, w.clock.cancels_hours, w.clock.cancels_threshold
         ),
         "reservation_id",
         "is_suspicious_cancel",

@@ -1,8 +1,8 @@
-"""Raw, validated and star-schema tables over one folder of sample tables.
+"""Raw, validated and star-schema tables of one hotel chain.
 
-Layer tables are written once per session to the shared folder and read from there by all reports, so
-that no plan spans all layers and a lost executor costs no more than its own tasks. A table is built
-when first asked for, after the tables it needs.
+Layer tables are written once to the shared folder and read from there by all reports, so that no plan
+spans all layers and a lost executor costs no more than its own tasks. A table is built when first
+asked for, after the tables it needs.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 import datetime as dt
 import threading
 from collections.abc import Callable
-from functools import cached_property
+from dataclasses import dataclass
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -19,35 +20,45 @@ from innledger.operators import anomaly, dq, gold, scd, silver
 from innledger.operators.keys import PART, POSITION, assign_keys, with_positions
 from innledger.session import content_stamp, fit_shuffles, new_folder
 from innledger.sources.sample_views import SOURCE_TABLES, raw_view
+from innledger.values import CANCEL_THRESHOLD, CANCEL_WINDOW_HOURS
 
-# Clock of the sample pipeline: first load, merge of the increments, look-back for cancellations.
-LOAD_DAY, LOAD_TS = dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 6)
-MERGE_DAY, MERGE_TS = dt.date(2024, 2, 1), dt.datetime(2024, 2, 1, 6)
-CANCELS_AS_OF = dt.datetime(2001, 8, 1)
-CANCELS_HOURS = 8760
-CANCELS_THRESHOLD = 1
+
+@dataclass(frozen=True)
+class Clock:
+    """When the first load and the merge of increments happen, and which cancellations count as recent."""
+
+    loaded: dt.datetime
+    merged: dt.datetime
+    cancels_as_of: dt.datetime
+    cancels_hours: int = CANCEL_WINDOW_HOURS
+    cancels_threshold: int = CANCEL_THRESHOLD
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """`raw` gives the raw tables by name: `raw_<entity>`, for guests and rooms also `raw_<entity>_inc`.
+
+    `source` is the folder their files lie in, `root` the folder for the layer tables.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        source: str,
+        raw: Callable[[str], DataFrame],
+        clock: Clock,
+        root: str | None = None,
+    ):
         self.spark = spark
-        self.sf_dir = sf_dir
-        self._sources: dict[str, DataFrame] = {}
+        self.source = source
+        self.raw = raw
+        self.clock = clock
+        self._root = root
         self._schemas: dict[str, StructType] = {}
         self._lock = threading.RLock()
 
     @cached_property
     def root(self) -> str:
-        return new_folder(self.spark, "warehouse")
-
-    def source(self, name: str) -> DataFrame:
-        """A sample table; its files are listed and its schema read once."""
-        if name not in self._sources:
-            self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return self._sources[name]
-
-    def raw(self, name: str) -> DataFrame:
-        return raw_view(self.spark, name, self.source)
+        return self._root or new_folder(self.spark, "warehouse")
 
     def raws(self) -> dict[str, DataFrame]:
         return {name: self.raw(name) for name in dq.ROW_RULES}
@@ -73,25 +84,25 @@ class Warehouse:
     # Transformations that both a layer table and a registered query are made of.
 
     def silver_guests(self) -> DataFrame:
-        return silver.silver_guests(self.raw("raw_guests"), LOAD_DAY, LOAD_TS)
+        return silver.silver_guests(self.raw("raw_guests"), self.clock.loaded)
 
     def silver_rooms(self) -> DataFrame:
-        return silver.silver_rooms(self.raw("raw_rooms"), LOAD_DAY, LOAD_TS)
+        return silver.silver_rooms(self.raw("raw_rooms"), self.clock.loaded)
 
     def silver_reservations(self) -> DataFrame:
-        return silver.silver_reservations(self.raw("raw_reservations"), LOAD_TS)
+        return silver.silver_reservations(self.raw("raw_reservations"), self.clock.loaded)
 
     def silver_housekeeping(self) -> DataFrame:
-        return silver.silver_housekeeping(self.raw("raw_housekeeping"), LOAD_TS)
+        return silver.silver_housekeeping(self.raw("raw_housekeeping"), self.clock.loaded)
 
     def silver_billing(self) -> DataFrame:
-        return silver.silver_billing(self.raw("raw_billing"), LOAD_TS)
+        return silver.silver_billing(self.raw("raw_billing"), self.clock.loaded)
 
     def merged_guests(self) -> DataFrame:
-        return scd.merge_guests(self.table("silver_guests"), self.raw("raw_guests_inc"), MERGE_DAY, MERGE_TS)
+        return scd.merge_guests(self.table("silver_guests"), self.raw("raw_guests_inc"), self.clock.merged)
 
     def merged_rooms(self) -> DataFrame:
-        return scd.merge_rooms(self.table("silver_rooms"), self.raw("raw_rooms_inc"), MERGE_DAY, MERGE_TS)
+        return scd.merge_rooms(self.table("silver_rooms"), self.raw("raw_rooms_inc"), self.clock.merged)
 
     def first_log(self) -> DataFrame:
         return dq.first_log(
@@ -114,7 +125,10 @@ class Warehouse:
 
     def flagged_reservations(self) -> DataFrame:
         return anomaly.flag_reservations(
-            self.table("reservation_load"), CANCELS_AS_OF, CANCELS_HOURS, CANCELS_THRESHOLD
+            self.table("reservation_load"),
+            self.clock.cancels_as_of,
+            self.clock.cancels_hours,
+            self.clock.cancels_threshold,
         )
 
     def housekeeping_load(self) -> DataFrame:
@@ -144,17 +158,31 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fact_billing": Warehouse.billing_load,
 }
 
+# Clock of the sample tables, which end in 2001.
+SAMPLE_CLOCK = Clock(
+    loaded=dt.datetime(2024, 1, 1, 6),
+    merged=dt.datetime(2024, 2, 1, 6),
+    cancels_as_of=dt.datetime(2001, 8, 1),
+    cancels_hours=8760,
+    cancels_threshold=1,
+)
+
 _open: dict[tuple, Warehouse] = {}
 _open_lock = threading.Lock()
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse of a folder in this session; a new one if the session or the files changed."""
+    """The warehouse over a folder of sample tables in this session.
+
+    A new one if the session or the files changed. Sample files are listed and their schemas read once.
+    """
     sources = sorted({t for tables in SOURCE_TABLES.values() for t in tables})
     stamps = tuple(content_stamp(spark, f"{sf_dir}/{t}.parquet") for t in sources)
     identity = (spark.sparkContext.applicationId, sf_dir, stamps)
     with _open_lock:
         if identity not in _open:
             fit_shuffles(spark, max(size for size, _, _ in stamps))
-            _open[identity] = Warehouse(spark, sf_dir)
+            read = cache(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+            raw = cache(lambda name: raw_view(spark, name, read))
+            _open[identity] = Warehouse(spark, sf_dir, raw, SAMPLE_CLOCK)
         return _open[identity]

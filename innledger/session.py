@@ -16,6 +16,7 @@ def local_session(cpus: int | str = "*", memory: str = "8g", **conf: str) -> Spa
         .appName("innledger")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
     )

@@ -113,6 +113,11 @@ def increment_rows(raw: DataFrame, pattern: str = INCREMENT_PATTERN) -> DataFram
     return raw.where(F.col("_file_name").like(pattern))
 
 
+def base_rows(raw: DataFrame, pattern: str = INCREMENT_PATTERN) -> DataFrame:
+    """Rows of all other files."""
+    return raw.where(~F.col("_file_name").like(pattern))
+
+
 def increment_rows_exact(raw: DataFrame, marker: str = "_inc") -> DataFrame:
     """Rows of files whose name holds the marker literally."""
     return raw.where(F.col("_file_name").contains(marker))

@@ -23,7 +23,7 @@ def test_latest_valid_row_wins(spark):
     data = [("7", 2, "Available", 10, OLD), ("7", 0, "Available", 99, NEW)]
     schema = "room_id string, capacity int, status string, base_price int, _loaded_at timestamp_ntz"
     raw = spark.createDataFrame(data, schema).withColumn("_file_name", F.lit("f"))
-    kept = silver.silver_rooms(raw, OLD.date(), OLD).collect()
+    kept = silver.silver_rooms(raw, OLD).collect()
     assert [(r.capacity, r.base_price, r.scd_version, r.is_current) for r in kept] == [(2, 10, 1, True)]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import sample_dir
 from innledger.operators import anomaly, dq, gold, scd
 from innledger.operators.keys import assign_keys
-from innledger.plans.warehouse import MERGE_DAY, MERGE_TS, warehouse
+from innledger.plans.warehouse import SAMPLE_CLOCK, warehouse
 
 SCALES = ("0.001", "0.01")
 SILVER = {
@@ -100,8 +100,8 @@ def test_merge_of_the_changed_tenth(spark, scale):
     w = warehouse(spark, sample_dir(SCALES[scale]))
     guest_part = w.raw("raw_guests_inc").where("cast(guest_id as bigint) % 10 = 3")
     room_part = w.raw("raw_rooms_inc").where("cast(room_id as bigint) % 10 = 7")
-    guests = scd.merge_guests(w.table("silver_guests"), guest_part, MERGE_DAY, MERGE_TS)
-    rooms = scd.merge_rooms(w.table("silver_rooms"), room_part, MERGE_DAY, MERGE_TS)
+    guests = scd.merge_guests(w.table("silver_guests"), guest_part, SAMPLE_CLOCK.merged)
+    rooms = scd.merge_rooms(w.table("silver_rooms"), room_part, SAMPLE_CLOCK.merged)
     assert guests.where("action = 'new_version'").count() == (12, 110)[scale]
     assert rooms.where("action = 'new_version'").count() == (12, 123)[scale]
     assert rooms.where("action = 'inserted'").count() == (1, 13)[scale]

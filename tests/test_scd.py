@@ -34,7 +34,7 @@ def room(key, amenities, price, ts, status="Available", capacity=2):
 @pytest.fixture(scope="module")
 def guests(spark):
     data = [guest("1001", "Gold", TS1), guest("1002", "Gold", TS1), guest("1005", "Bronze", TS1), guest("1", "Gold", TS1)]
-    return silver.silver_guests(spark.createDataFrame(data, GUEST), DAY1, TS1)
+    return silver.silver_guests(spark.createDataFrame(data, GUEST), TS1)
 
 
 @pytest.fixture(scope="module")
@@ -53,7 +53,7 @@ ENDED = dt.date(2024, 1, 31)
 
 
 def test_tier_changes(guests, increment):
-    merged = scd.merge_guests(guests, increment, DAY2, TS2)
+    merged = scd.merge_guests(guests, increment, TS2)
     assert versions(merged, "guest_id", "loyalty_tier") == [
         ("1", "Gold", 1, True, DAY1, OPEN),
         ("1001", "Gold", 1, False, DAY1, ENDED),
@@ -69,15 +69,15 @@ def test_tier_changes(guests, increment):
 
 
 def test_same_increment_twice_changes_nothing(guests, increment):
-    once = scd.merge_guests(guests, increment, DAY2, TS2)
-    twice = scd.merge_guests(once.drop("action"), increment, DAY3, TS3)
+    once = scd.merge_guests(guests, increment, TS2)
+    twice = scd.merge_guests(once.drop("action"), increment, TS3)
     assert rows(once.drop("action"), "*") == rows(twice.drop("action"), "*")
     assert {r.action for r in twice.collect()} == {"history", "unchanged"}
 
 
 def test_third_version(spark, guests, increment):
-    once = scd.merge_guests(guests, increment, DAY2, TS2).drop("action")
-    again = scd.merge_guests(once, spark.createDataFrame([guest("1001", "Gold", TS3)], GUEST), DAY3, TS3)
+    once = scd.merge_guests(guests, increment, TS2).drop("action")
+    again = scd.merge_guests(once, spark.createDataFrame([guest("1001", "Gold", TS3)], GUEST), TS3)
     assert versions(again.where("guest_id = '1001'"), "loyalty_tier") == [
         ("Gold", 1, False, DAY1, ENDED),
         ("Gold", 3, True, DAY3, OPEN),
@@ -89,7 +89,7 @@ def test_contact_data_is_overwritten_without_a_version(spark, guests):
     source = spark.createDataFrame(
         [guest("1001", "Gold", TS2, "new@mail.test"), guest("1002", "Diamond", TS2, "other@mail.test")], GUEST
     )
-    merged = scd.merge_guests(guests, source, DAY2, TS2)
+    merged = scd.merge_guests(guests, source, TS2)
     assert rows(merged.where("action = 'overwritten'"), "guest_id", "loyalty_tier", "email", "scd_version") == [
         ("1001", "Gold", "new@mail.test", 1),
         ("1002", "Gold", "other@mail.test", 1),
@@ -100,7 +100,7 @@ def test_unknown_keys(spark, guests):
     source = spark.createDataFrame(
         [guest("2", "Silver", TS2), guest("3", "Diamond", TS2), guest(None, "Silver", TS2)], GUEST
     )
-    merged = scd.merge_guests(guests, source, DAY2, TS2)
+    merged = scd.merge_guests(guests, source, TS2)
     new = merged.where("action = 'inserted'").collect()
     assert [(r.guest_id, r.loyalty_tier, r.scd_version, r.dob) for r in new] == [
         ("2", "Silver", 1, dt.date(1990, 1, 1))
@@ -112,7 +112,7 @@ def test_latest_valid_row_decides_the_version_and_latest_row_the_contact(spark,
     source = spark.createDataFrame(
         [guest("1001", "Platinum", TS2, "valid@mail.test"), guest("1001", "Diamond", TS3, "last@mail.test")], GUEST
     )
-    merged = scd.merge_guests(guests, source, DAY2, TS2)
+    merged = scd.merge_guests(guests, source, TS2)
     current = merged.where("guest_id = '1001' and is_current").first()
     assert (current.loyalty_tier, current.email, current.scd_version) == ("Platinum", "last@mail.test", 2)
 
@@ -123,7 +123,7 @@ def test_null_tier_counts_as_change_only_if_asked(spark, guests):
 
     def actions(null_safe):
         merged = scd.scd2_merge(
-            target, source, "guest_id", ["loyalty_tier"], ["email"], DAY2, TS2, silver.valid_guest(),
+            target, source, "guest_id", ["loyalty_tier"], ["email"], TS2, silver.valid_guest(),
             null_safe=null_safe,
         )
         return sorted(r.action for r in merged.where("guest_id = '1'").collect())
@@ -147,8 +147,8 @@ def test_room_changes(spark):
         room("310", "WiFi", "110", TS2),
         room("311", "WiFi", "90", TS2, "Maintenance", capacity=0),
     ]
-    rooms = silver.silver_rooms(spark.createDataFrame(before, ROOM), DAY1, TS1)
-    merged = scd.merge_rooms(rooms, spark.createDataFrame(after, ROOM), DAY2, TS2)
+    rooms = silver.silver_rooms(spark.createDataFrame(before, ROOM), TS1)
+    merged = scd.merge_rooms(rooms, spark.createDataFrame(after, ROOM), TS2)
     current = merged.where("is_current")
     assert rows(current, "room_id", "amenities", F.col("base_price").cast("int"), "scd_version", "capacity") == [
         ("301", "WiFi;TV", 150, 2, 2),
@@ -161,6 +161,6 @@ def test_room_changes(spark):
 
 
 def test_same_day_change_ends_the_day_before(guests, increment):
-    merged = scd.merge_guests(guests, increment, DAY1, TS1)
+    merged = scd.merge_guests(guests, increment, TS1)
     ended = merged.where("action = 'expired'").first()
     assert (ended.scd_start_date, ended.scd_end_date) == (DAY1, dt.date(2023, 12, 31))

@@ -2,12 +2,12 @@ import datetime as dt
 
 from conftest import rows, sample_dir
 from innledger.operators import scd
-from innledger.plans.warehouse import MERGE_DAY, MERGE_TS, warehouse
+from innledger.plans.warehouse import SAMPLE_CLOCK, warehouse
 from innledger.streaming.incremental import merge_increments
 
 
 def merge(old, new):
-    return scd.merge_rooms(old, new, MERGE_DAY, MERGE_TS)
+    return scd.merge_rooms(old, new, SAMPLE_CLOCK.merged)
 
 
 def test_files_in_several_batches_equal_one_merge(spark, tmp_path):
