@@ -1,7 +1,8 @@
 """Data-quality rules and the exception log.
 
 A rule is data: which rows break it and how they are reported. All rules of one table run in one scan;
-rules that need a second table are anti joins or joins on the referenced key.
+rules that need a second table are anti joins or joins on the referenced key. Table names, messages and
+labels are fixed values that readers of the log rely on.
 """
 
 from __future__ import annotations

@@ -395,9 +395,20 @@ def _normal(first: str, second: str, mean: int, deviation: int, low: int, high:
 
 
 def _synthetic() -> dict[str, str]:
-    r, t = "reservation_id", "task_id"
-    hotel = f"'H00' || ({_int(_unit(r, 'hotel'), 0, 5)} + 1)"
-    day = f"DATE '2024-01-01' + {_int(_unit(r, 'day'), 0, 365)}"
+    g, m, r, t = "guest_id", "room_id", "reservation_id", "task_id"
+
+    def hotel(key: str) -> str:
+        return f"'H00' || ({_int(_unit(key, 'hotel'), 0, 5)} + 1)"
+
+    def one_of(key: str, label: str, choices: str) -> str:
+        return f"list_extract([{choices}], {_int(_unit(key, label), 0, choices.count(',') + 1)} + 1)"
+
+    def day(label: str) -> str:
+        return f"DATE '2024-01-01' + {_int(_unit(r, label), 0, 365)}"
+
+    def room(key: str) -> str:
+        return f"{_int(_unit(key, 'room'), 300, 350)}::VARCHAR"
+
     stay = _int(_unit(r, "stay"), 1, 10)
     task = _pick(_unit(t, "task"), [("'cleaning'", 0.7), ("'maintenance'", 1)])
     cleaning = _normal(_unit(t, "d1"), _unit(t, "d2"), 40, 15, 10, 90)
@@ -407,23 +418,36 @@ def _synthetic() -> dict[str, str]:
         [("'Website'", 0.3), ("'Mobile App'", 0.55), ("'OTA'", 0.8), ("'Corporate'", 0.95), ("'Walk-in'", 1)],
     )
     status = _pick(_unit(r, "status"), [("'confirmed'", 0.35), ("'cancelled'", 0.5), ("'completed'", 1)])
-    tier = _pick(_unit(r, "tier"), [("'Bronze'", 0.35), ("'Silver'", 0.65), ("'Gold'", 0.9), ("'Platinum'", 1)])
+    tier = _pick(_unit(g, "tier"), [("'Bronze'", 0.35), ("'Silver'", 0.65), ("'Gold'", 0.9), ("'Platinum'", 1)])
+    kind = _pick(_unit(m, "type"), [("'Standard'", 0.45), ("'Deluxe'", 0.85), ("'Suite'", 1)])
+    room_state = _pick(_unit(m, "state"), [("'Available'", 0.5), ("'Occupied'", 0.9), ("'Maintenance'", 1)])
+    task_state = _pick(_unit(t, "state"), [("'Completed'", 0.8), ("'Pending'", 0.9), ("'In Progress'", 1)])
     mode = _pick(
         _unit(r, "mode"),
         [("'Credit Card'", 0.4), ("'UPI'", 0.7), ("'Cash'", 0.8), ("'Net Banking'", 0.9), ("'Debit Card'", 1)],
     )
     discount = _pick(_unit(r, "discount"), [("0", 0.6), ("20", 0.8), ("50", 0.95), ("100", 1)])
+    countries = "'India', 'USA', 'UK', 'Australia', 'UAE'"
+    cities = "'Mumbai', 'Delhi', 'Bangalore', 'Hyderabad', 'Chennai'"
     return {
+        "synthetic_guests": f"""
+SELECT 'G' || {g} AS guest_id, {tier} AS loyalty_tier, {one_of(g, 'country', countries)} AS country,
+  {one_of(g, 'city', cities)} AS city
+FROM raw_guests""",
+        "synthetic_rooms": f"""
+SELECT room_id, {hotel(m)} AS hotel_id, {kind} AS room_type, {one_of(m, 'capacity', '2, 2, 4')} AS capacity,
+  {one_of(m, 'price', '80, 100, 120, 150, 200, 250, 300')}::DECIMAL(18,2) AS base_price, {room_state} AS status
+FROM raw_rooms""",
         "synthetic_reservations": f"""
 SELECT *, check_in_date + length_of_stay AS check_out_date FROM (
-  SELECT 'R' || {r} AS reservation_id, 'G' || {r} AS guest_id,
-    {_int(_unit(r, 'room'), 300, 350)}::VARCHAR AS room_id, {hotel} AS hotel_id, {day} AS check_in_date,
-    {stay} AS length_of_stay, {channel} AS booking_channel, {status} AS status, {tier} AS loyalty_tier,
+  SELECT 'R' || {r} AS reservation_id, 'G' || {r} AS guest_id, {room(r)} AS room_id, {hotel(r)} AS hotel_id,
+    {day('day')} AS check_in_date, {stay} AS length_of_stay, {channel} AS booking_channel, {status} AS status,
     {_unit(r, 'double')} < 0.05 AS is_double_booked, {_unit(r, 'cancel')} < 0.04 AS is_suspicious_cancel
   FROM raw_reservations)""",
         "synthetic_housekeeping": f"""
 SELECT *, duration_minutes > {_LIMIT} AS sla_breached FROM (
-  SELECT 'T' || {t} AS task_id, {_int(_unit(t, 'room'), 300, 350)}::VARCHAR AS room_id, {task} AS task_type,
+  SELECT 'T' || {t} AS task_id, {room(t)} AS room_id, {task} AS task_type,
+    'Staff ' || {_int(_unit(t, 'staff'), 1, 6)} AS assigned_staff, {task_state} AS status,
     {_unit(t, 'issue')} < 0.20 AS issue_detected_flag,
     CASE WHEN {task} = 'cleaning' THEN {cleaning} ELSE {repair} END AS duration_minutes
   FROM raw_housekeeping)""",
@@ -432,7 +456,7 @@ SELECT *, (total_amount - discounts + taxes)::DECIMAL(18,2) AS net_amount FROM (
   SELECT *, round(total_amount * 0.10::DECIMAL(3,2), 2)::DECIMAL(18,2) AS taxes FROM (
     SELECT 'B' || {r} AS bill_id, 'R' || {r} AS reservation_id,
       round(200 + {_unit(r, 'amount')} * 1300, 2)::DECIMAL(18,2) AS total_amount,
-      ({discount})::DECIMAL(18,2) AS discounts, {mode} AS payment_mode,
+      ({discount})::DECIMAL(18,2) AS discounts, {mode} AS payment_mode, {day('paid')} AS payment_date,
       {_unit(r, 'flag')} < 0.08 AS is_flagged, {_unit(r, 'mismatch')} < 0.05 AS billing_mismatch
     FROM raw_reservations))""",
     }

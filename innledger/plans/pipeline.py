@@ -1,9 +1,10 @@
 """The whole pipeline over a stage folder of CSV extracts, one subfolder per entity.
 
-    python -m innledger.plans.pipeline STAGE ROOT AS_OF
+    python -m innledger.plans.pipeline STAGE ROOT AS_OF [PREVIOUS]
 
 loads the extracts into typed raw tables, builds every layer table and writes all reports, everything
 below ROOT, which all executors must be able to reach. AS_OF is the time of the run in ISO format.
+PREVIOUS is the ROOT of the run before, whose guest and room versions are carried on.
 """
 
 from __future__ import annotations
@@ -51,7 +52,9 @@ def load_bronze(spark: SparkSession, stage: str, bronze: str, loaded_at: dt.date
         append_raw(good, f"{bronze}/{entity}")
 
 
-def file_warehouse(spark: SparkSession, stage: str, root: str, clock: Clock) -> Warehouse:
+def file_warehouse(
+    spark: SparkSession, stage: str, root: str, clock: Clock, previous: str | None = None
+) -> Warehouse:
     """Warehouse over raw tables loaded from CSV; increments are told by their file names."""
 
     def raw(name: str) -> DataFrame:
@@ -61,7 +64,8 @@ def file_warehouse(spark: SparkSession, stage: str, root: str, clock: Clock) ->
             return increment_rows(table)
         return base_rows(table) if entity in ("guests", "rooms") else table
 
-    return Warehouse(spark, stage, cache(raw), clock, f"{root}/layers")
+    before = previous and f"{previous}/layers"
+    return Warehouse(spark, stage, cache(raw), clock, f"{root}/layers", before)
 
 
 REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
@@ -82,21 +86,24 @@ REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 
-def run(spark: SparkSession, stage: str, root: str, clock: Clock) -> Warehouse:
+def run(
+    spark: SparkSession, stage: str, root: str, clock: Clock, previous: str | None = None
+) -> Warehouse:
     total_bytes, _, _ = content_stamp(spark, stage)
     fit_shuffles(spark, total_bytes)
     load_bronze(spark, stage, f"{root}/bronze", clock.loaded)
-    w = file_warehouse(spark, stage, root, clock)
+    w = file_warehouse(spark, stage, root, clock, previous)
     for table in BUILDERS:
         w.stored(table)
     for name, report in REPORTS.items():
-        report(w).select(F.lit(clock.merged.isoformat()).alias("as_of"), "*").write.parquet(f"{root}/reports/{name}")
+        dated = report(w).select(F.lit(clock.merged.isoformat()).alias("as_of"), "*")
+        dated.write.mode("overwrite").parquet(f"{root}/reports/{name}")
     return w
 
 
 if __name__ == "__main__":
-    stage_folder, root_folder, as_of = sys.argv[1:]
+    stage_folder, root_folder, as_of, *earlier = sys.argv[1:]
     now = dt.datetime.fromisoformat(as_of)
     session = SparkSession.builder.appName("innledger").getOrCreate()
-    run(session, stage_folder, root_folder, Clock(loaded=now, merged=now, cancels_as_of=now))
+    run(session, stage_folder, root_folder, Clock(now, now, now), earlier[0] if earlier else None)
     session.stop()

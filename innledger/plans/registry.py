@@ -114,6 +114,11 @@ def _flag(flagged: DataFrame, key: str, flag: str) -> DataFrame:
     return flagged.select(key, flag)
 
 
+def _synthetic(generate: Callable[..., DataFrame], table: str, key: str) -> Query:
+    """Rows made up for every key of a raw table."""
+    return lambda w: generate(w.raw(table).select(key), key)
+
+
 QUERIES: dict[str, Query] = {
     # Sources
     "ingest_csv_nulls": feeds.ingest_csv_nulls,
@@ -123,15 +128,13 @@ QUERIES: dict[str, Query] = {
     "bronze_append_reload": feeds.bronze_append_reload,
     "source_manifest": feeds.sample_manifest,
     "inc_file_filter": feeds.increment_guests,
-    "synthetic_reservations": lambda w: synthetic.synthetic_reservations(
-        w.raw("raw_reservations").select("reservation_id"), "reservation_id"
-    ),
-    "synthetic_housekeeping": lambda w: synthetic.synthetic_housekeeping(
-        w.raw("raw_housekeeping").select("task_id"), "task_id"
-    ),
-    "synthetic_billing": lambda w: synthetic.synthetic_billing(
-        w.raw("raw_reservations").select("reservation_id"), "reservation_id"
+    "synthetic_guests": _synthetic(synthetic.synthetic_guests, "raw_guests", "guest_id"),
+    "synthetic_rooms": _synthetic(synthetic.synthetic_rooms, "raw_rooms", "room_id"),
+    "synthetic_reservations": _synthetic(
+        synthetic.synthetic_reservations, "raw_reservations", "reservation_id"
     ),
+    "synthetic_housekeeping": _synthetic(synthetic.synthetic_housekeeping, "raw_housekeeping", "task_id"),
+    "synthetic_billing": _synthetic(synthetic.synthetic_billing, "raw_reservations", "reservation_id"),
     # Validated layer
     "dedup_latest_bill": lambda w: dedup_latest(w.raw("raw_billing"), ["bill_id"], silver.BILL_TIES),
     "silver_guests": Warehouse.silver_guests,

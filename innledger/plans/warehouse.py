@@ -37,7 +37,8 @@ class Clock:
 class Warehouse:
     """`raw` gives the raw tables by name: `raw_<entity>`, for guests and rooms also `raw_<entity>_inc`.
 
-    `source` is the folder their files lie in, `root` the folder for the layer tables.
+    `source` is the folder their files lie in, `root` the folder for the layer tables. `previous` is the
+    root of an earlier run whose guest and room versions are carried on instead of starting anew.
     """
 
     def __init__(
@@ -47,11 +48,13 @@ class Warehouse:
         raw: Callable[[str], DataFrame],
         clock: Clock,
         root: str | None = None,
+        previous: str | None = None,
     ):
         self.spark = spark
         self.source = source
         self.raw = raw
         self.clock = clock
+        self.previous = previous
         self._root = root
         self._schemas: dict[str, StructType] = {}
         self._lock = threading.RLock()
@@ -71,7 +74,7 @@ class Warehouse:
         with self._lock:
             if name not in self._schemas:
                 frame = BUILDERS[name](self)
-                frame.write.parquet(self.path(name))
+                frame.write.mode("overwrite").parquet(self.path(name))
                 self._schemas[name] = frame.schema
         return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
 
@@ -98,11 +101,18 @@ class Warehouse:
     def silver_billing(self) -> DataFrame:
         return silver.silver_billing(self.raw("raw_billing"), self.clock.loaded)
 
+    def _versions_before(self, versions: str, first: str) -> DataFrame:
+        if self.previous is None:
+            return self.table(first)
+        return self.spark.read.parquet(f"{self.previous}/{versions}").drop(PART, POSITION, "action")
+
     def merged_guests(self) -> DataFrame:
-        return scd.merge_guests(self.table("silver_guests"), self.raw("raw_guests_inc"), self.clock.merged)
+        before = self._versions_before("guest_versions", "silver_guests")
+        return scd.merge_guests(before, self.raw("raw_guests_inc"), self.clock.merged)
 
     def merged_rooms(self) -> DataFrame:
-        return scd.merge_rooms(self.table("silver_rooms"), self.raw("raw_rooms_inc"), self.clock.merged)
+        before = self._versions_before("room_versions", "silver_rooms")
+        return scd.merge_rooms(before, self.raw("raw_rooms_inc"), self.clock.merged)
 
     def first_log(self) -> DataFrame:
         return dq.first_log(

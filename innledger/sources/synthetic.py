@@ -21,6 +21,14 @@ STATUSES = (("confirmed", 0.35), ("cancelled", 0.15), ("completed", 0.50))
 TASKS = (("cleaning", 0.70), ("maintenance", 0.30))
 MODES = (("Credit Card", 0.40), ("UPI", 0.30), ("Cash", 0.10), ("Net Banking", 0.10), ("Debit Card", 0.10))
 DISCOUNTS = ((0, 0.6), (20, 0.2), (50, 0.15), (100, 0.05))
+ROOM_TYPES = (("Standard", 0.45), ("Deluxe", 0.40), ("Suite", 0.15))
+ROOM_STATES = (("Available", 0.50), ("Occupied", 0.40), ("Maintenance", 0.10))
+TASK_STATES = (("Completed", 0.80), ("Pending", 0.10), ("In Progress", 0.10))
+CAPACITIES = (2, 2, 4)
+PRICES = (80, 100, 120, 150, 200, 250, 300)
+COUNTRIES = ("India", "USA", "UK", "Australia", "UAE")
+CITIES = ("Mumbai", "Delhi", "Bangalore", "Hyderabad", "Chennai")
+STAFF = 5
 HOTEL_IDS = ("H001", "H002", "H003", "H004", "H005")
 FIRST_DAY = "2024-01-01"
 DAYS = 365
@@ -50,6 +58,11 @@ def uniform_int(draw: Column, low: int, high: int) -> Column:
     return (F.floor(draw * (high - low)) + low).cast("int")
 
 
+def any_one(draw: Column, choices: Sequence[object]) -> Column:
+    """One of the choices, all equally likely."""
+    return F.element_at(F.array(*map(F.lit, choices)), uniform_int(draw, 0, len(choices)) + 1)
+
+
 def normal(first: Column, second: Column, mean: float, deviation: float) -> Column:
     """Normal draw from two uniform ones."""
     radius = F.sqrt(-2.0 * F.ln(1.0 - first))
@@ -60,29 +73,49 @@ def chance(draw: Column, probability: float) -> Column:
     return draw < probability
 
 
+def synthetic_guests(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    def draw(label: str) -> Column:
+        return uniform(key, label, seed)
+
+    return keys.select(
+        F.concat(F.lit("G"), F.col(key)).alias("guest_id"),
+        weighted(draw("tier"), TIERS).alias("loyalty_tier"),
+        any_one(draw("country"), COUNTRIES).alias("country"),
+        any_one(draw("city"), CITIES).alias("city"),
+    )
+
+
+def synthetic_rooms(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    def draw(label: str) -> Column:
+        return uniform(key, label, seed)
+
+    return keys.select(
+        F.col(key).alias("room_id"),
+        any_one(draw("hotel"), HOTEL_IDS).alias("hotel_id"),
+        weighted(draw("type"), ROOM_TYPES).alias("room_type"),
+        any_one(draw("capacity"), CAPACITIES).alias("capacity"),
+        any_one(draw("price"), PRICES).cast("decimal(18,2)").alias("base_price"),
+        weighted(draw("state"), ROOM_STATES).alias("status"),
+    )
+
+
 def synthetic_reservations(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
     def draw(label: str) -> Column:
         return uniform(key, label, seed)
 
-    nights = uniform_int(draw("stay"), 1, 10)
-    return (
-        keys.select(
-            F.concat(F.lit("R"), F.col(key)).alias("reservation_id"),
-            F.concat(F.lit("G"), F.col(key)).alias("guest_id"),
-            uniform_int(draw("room"), ROOMS_FROM, ROOMS_FROM + ROOMS).cast("string").alias("room_id"),
-            F.element_at(
-                F.array(*map(F.lit, HOTEL_IDS)), uniform_int(draw("hotel"), 0, len(HOTEL_IDS)) + 1
-            ).alias("hotel_id"),
-            F.date_add(F.lit(FIRST_DAY).cast("date"), uniform_int(draw("day"), 0, DAYS)).alias("check_in_date"),
-            nights.alias("length_of_stay"),
-            weighted(draw("channel"), CHANNELS).alias("booking_channel"),
-            weighted(draw("status"), STATUSES).alias("status"),
-            weighted(draw("tier"), TIERS).alias("loyalty_tier"),
-            chance(draw("double"), 0.05).alias("is_double_booked"),
-            chance(draw("cancel"), 0.04).alias("is_suspicious_cancel"),
-        )
-        .withColumn("check_out_date", F.date_add("check_in_date", F.col("length_of_stay")))
+    stays = keys.select(
+        F.concat(F.lit("R"), F.col(key)).alias("reservation_id"),
+        F.concat(F.lit("G"), F.col(key)).alias("guest_id"),
+        uniform_int(draw("room"), ROOMS_FROM, ROOMS_FROM + ROOMS).cast("string").alias("room_id"),
+        any_one(draw("hotel"), HOTEL_IDS).alias("hotel_id"),
+        F.date_add(F.lit(FIRST_DAY).cast("date"), uniform_int(draw("day"), 0, DAYS)).alias("check_in_date"),
+        uniform_int(draw("stay"), 1, 10).alias("length_of_stay"),
+        weighted(draw("channel"), CHANNELS).alias("booking_channel"),
+        weighted(draw("status"), STATUSES).alias("status"),
+        chance(draw("double"), 0.05).alias("is_double_booked"),
+        chance(draw("cancel"), 0.04).alias("is_suspicious_cancel"),
     )
+    return stays.withColumn("check_out_date", F.date_add("check_in_date", F.col("length_of_stay")))
 
 
 def synthetic_housekeeping(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
@@ -98,6 +131,8 @@ def synthetic_housekeeping(keys: DataFrame, key: str, seed: int = 42) -> DataFra
         F.concat(F.lit("T"), F.col(key)).alias("task_id"),
         uniform_int(draw("room"), ROOMS_FROM, ROOMS_FROM + ROOMS).cast("string").alias("room_id"),
         weighted(draw("task"), TASKS).alias("task_type"),
+        F.concat(F.lit("Staff "), uniform_int(draw("staff"), 1, STAFF + 1)).alias("assigned_staff"),
+        weighted(draw("state"), TASK_STATES).alias("status"),
         duration("cleaning").alias("_cleaning"),
         duration("maintenance").alias("_maintenance"),
         chance(draw("issue"), 0.20).alias("issue_detected_flag"),
@@ -118,6 +153,7 @@ def synthetic_billing(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
         amount.alias("total_amount"),
         weighted(draw("discount"), DISCOUNTS).cast("decimal(18,2)").alias("discounts"),
         weighted(draw("mode"), MODES).alias("payment_mode"),
+        F.date_add(F.lit(FIRST_DAY).cast("date"), uniform_int(draw("paid"), 0, DAYS)).alias("payment_date"),
         chance(draw("flag"), 0.08).alias("is_flagged"),
         chance(draw("mismatch"), 0.05).alias("billing_mismatch"),
     )

@@ -53,7 +53,7 @@ GAUGES = {  # kpi -> (target, upper edge of the low band, upper edge of the midd
 CANCEL_WARNING = 5
 HISTOGRAM_BINS = 20
 
-# The hotels of the chain: id, name, city, country, stars, rooms.
+# The hotels of the chain with id, name, city, country, stars and rooms.
 HOTELS = (
     ("H001", "Mumbai Central", "Mumbai", "India", 5, 120),
     ("H002", "Delhi North", "Delhi", "India", 4, 95),

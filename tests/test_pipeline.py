@@ -105,3 +105,18 @@ def test_pipeline(spark, tmp_path):
     conversion = spark.read.parquet(f"{root}/reports/kpi2_conversion").first()
     assert (conversion.total_reservations, conversion.conversion_pct) == (4, 25.0)
     assert QUERIES["dash_kpi_summary"](w).count() == 6
+
+    # A later increment is merged into the versions of the first run.
+    later = tmp_path / "stage2"
+    for name, lines in FILES.items():
+        path = later / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("\n".join(lines).replace("Platinum", "Silver") + "\n")
+    march = Clock(loaded=clock.loaded, merged=dt.datetime(2024, 3, 1), cancels_as_of=clock.cancels_as_of)
+    second = run(spark, str(later), str(tmp_path / "out2"), march, previous=root)
+    versions = second.table("dim_guest").where("guest_id = '1001'")
+    assert rows(versions, "scd_version", "loyalty_tier", "is_current") == [
+        (1, "Gold", False),
+        (2, "Platinum", False),
+        (3, "Silver", True),
+    ]
