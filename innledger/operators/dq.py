@@ -316,26 +316,17 @@ def bills_with_bookings(bills: DataFrame, reservations: DataFrame) -> DataFrame:
 
 def relation_checks(
     raw: dict[str, DataFrame], guests: DataFrame, rooms: DataFrame, reservations: DataFrame
-) -> dict[tuple[str, ...], DataFrame]:
-    """Log entries of the rules that compare two tables, by the names of the rules they answer.
-
-    Dimensions count with their current rows.
-    """
+) -> list[DataFrame]:
+    """Log entries of all rules that compare two tables; dimensions count with their current rows."""
     guests, rooms = guests.where("is_current"), rooms.where("is_current")
     res, hk = raw["raw_reservations"], raw["raw_housekeeping"]
-    billing = billing_relation_rules()
-    return {
-        ("dq_res_orphan_guest",): run_orphans(
-            res, guests, "reservation_id", "guest_id", "RAW_RESERVATIONS", "VAL_GUESTS"
-        ),
-        ("dq_res_orphan_room",): run_orphans(
-            res, rooms, "reservation_id", "room_id", "RAW_RESERVATIONS", "VAL_ROOMS"
-        ),
-        ("dq_hk_orphan_room",): run_orphans(hk, rooms, "task_id", "room_id", "RAW_HOUSEKEEPING", "VAL_ROOMS"),
-        tuple(r.name for r in billing): run_rules(
-            bills_with_bookings(raw["raw_billing"], reservations), billing
-        ),
-    }
+    bills = bills_with_bookings(raw["raw_billing"], reservations)
+    return [
+        run_orphans(res, guests, "reservation_id", "guest_id", "RAW_RESERVATIONS", "VAL_GUESTS"),
+        run_orphans(res, rooms, "reservation_id", "room_id", "RAW_RESERVATIONS", "VAL_ROOMS"),
+        run_orphans(hk, rooms, "task_id", "room_id", "RAW_HOUSEKEEPING", "VAL_ROOMS"),
+        run_rules(bills, billing_relation_rules()),
+    ]
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -352,8 +343,7 @@ def first_log(
     per_table = [
         run_rules(raw[table], [r for r in rules() if not is_value_check(r)]) for table, rules in ROW_RULES.items()
     ]
-    related = relation_checks(raw, guests, rooms, reservations)
-    return union_all([*per_table, *related.values()])
+    return union_all([*per_table, *relation_checks(raw, guests, rooms, reservations)])
 
 
 def value_checks(raw: dict[str, DataFrame]) -> DataFrame:

@@ -34,10 +34,6 @@ def _n(condition: str) -> str:
     return f"count(*) FILTER (WHERE {condition})"
 
 
-def _listed(values: tuple) -> str:
-    return ", ".join(values)
-
-
 _LOADED = "TIMESTAMP '2024-01-01 06:00:00' AS _loaded_at, _file_name AS _source_file"
 _FIRST = (
     "DATE '2024-01-01' AS scd_start_date, DATE '9999-12-31' AS scd_end_date, "
@@ -47,7 +43,20 @@ _GUEST = "name, dob, gender, email, phone, address, city, country, loyalty_tier,
 _ROOM = "hotel_id, room_type, floor, capacity, amenities, status, base_price"
 _TIER_OK = "loyalty_tier IN ('Bronze', 'Silver', 'Gold', 'Platinum')"
 _BILL = "total_amount, taxes, discounts, reservation_id, guest_id, payment_mode, payment_time, is_flagged"
-_BILL_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in ("_loaded_at, " + _BILL).split(", "))
+_RESERVATION = (
+    "guest_id, room_id, check_in_date, check_out_date, booking_channel, booking_time, cancellation_time, status"
+)
+_TASK = (
+    "room_id, task_type, assigned_staff, scheduled_time, start_time, end_time, issue_detected_flag, status"
+)
+
+
+def _latest(table: str, key: str, columns: str) -> str:
+    """The latest row per key; rows of one load are told apart by all their columns, greatest first."""
+    order = ", ".join(f"{table}.{c} DESC NULLS LAST" for c in f"_loaded_at, {columns}, _file_name".split(", "))
+    return f"QUALIFY row_number() OVER (PARTITION BY {table}.{key} ORDER BY {order}) = 1"
+
+
 _TRUE = "coalesce(regexp_full_match(lower(trim({0})), 'true|1|yes|y|t'), false)"
 
 
@@ -62,7 +71,7 @@ def _versions(entity: str, key: str, columns: str, tracked: tuple, overwrite: tu
         "DATE '2024-02-01' AS scd_start_date, DATE '9999-12-31' AS scd_end_date, true AS is_current, "
         "TIMESTAMP '2024-02-01 06:00:00' AS _loaded_at, p._file_name AS _source_file"
     )
-    latest = f"QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY _loaded_at DESC, {_listed(tuple(names))}) = 1"
+    latest = _latest(f"raw_{entity}s_inc", key, columns)
     return {
         f"{entity}_pick": f"SELECT * FROM raw_{entity}s_inc WHERE {key} IS NOT NULL AND {ok} {latest}",
         f"{entity}_over": f"SELECT * FROM raw_{entity}s_inc WHERE {key} IS NOT NULL AND {over_ok} {latest}",
@@ -211,23 +220,22 @@ BLOCKS: dict[str, str] = {
     **{name: view_sql(name) for name in VIEWS},
     "silver_guests": f"""
 SELECT guest_id, {_GUEST}, {_FIRST} FROM raw_guests WHERE guest_id IS NOT NULL AND {_TIER_OK}
-QUALIFY row_number() OVER (PARTITION BY guest_id ORDER BY raw_guests._loaded_at DESC, {_GUEST}) = 1""",
+{_latest('raw_guests', 'guest_id', _GUEST)}""",
     "silver_rooms": f"""
 SELECT room_id, {_ROOM}, {_FIRST} FROM raw_rooms
 WHERE room_id IS NOT NULL AND capacity > 0 AND base_price >= 0
   AND status IN ('Available', 'Occupied', 'Maintenance')
-QUALIFY row_number() OVER (PARTITION BY room_id ORDER BY raw_rooms._loaded_at DESC, {_ROOM}) = 1""",
+{_latest('raw_rooms', 'room_id', _ROOM)}""",
     "silver_reservations": f"""
 SELECT reservation_id, guest_id, room_id, check_in_date, check_out_date,
   date_diff('day', check_in_date, check_out_date)::INTEGER AS length_of_stay, booking_channel, booking_time,
   cancellation_time, lower(status) AS status, {_LOADED}
 FROM raw_reservations
-WHERE coalesce(reservation_id, guest_id, room_id) IS NOT NULL AND reservation_id IS NOT NULL
+WHERE reservation_id IS NOT NULL
   AND guest_id IS NOT NULL AND room_id IS NOT NULL AND check_in_date <= check_out_date
   AND coalesce(cancellation_time < check_in_date + INTERVAL 1 DAY, true)
   AND lower(status) IN ('confirmed', 'cancelled', 'completed')
-QUALIFY row_number() OVER (PARTITION BY reservation_id ORDER BY raw_reservations._loaded_at DESC, guest_id,
-  room_id, check_in_date, check_out_date) = 1""",
+{_latest('raw_reservations', 'reservation_id', _RESERVATION)}""",
     "silver_housekeeping": f"""
 SELECT task_id, room_id, lower(trim(task_type)) AS task_type, assigned_staff, scheduled_time, start_time, end_time,
   date_diff('minute', start_time, end_time) AS duration_minutes,
@@ -235,11 +243,11 @@ SELECT task_id, room_id, lower(trim(task_type)) AS task_type, assigned_staff, sc
 FROM raw_housekeeping
 WHERE task_id IS NOT NULL AND room_id IS NOT NULL AND (end_time IS NULL OR start_time <= end_time)
   AND lower(trim(task_type)) IN ('cleaning', 'maintenance')
-QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY raw_housekeeping._loaded_at DESC, room_id) = 1""",
+{_latest('raw_housekeeping', 'task_id', _TASK)}""",
     "latest_bill": f"""
 SELECT * FROM raw_billing
 WHERE bill_id IS NOT NULL AND total_amount >= 0 AND taxes >= 0 AND discounts >= 0
-QUALIFY row_number() OVER (PARTITION BY bill_id ORDER BY {_BILL_ORDER}) = 1""",
+{_latest('raw_billing', 'bill_id', _BILL)}""",
     "silver_billing": f"""
 SELECT bill_id, reservation_id, guest_id, total_amount, taxes, discounts, payment_mode, payment_time,
   {_TRUE.format('is_flagged')} AS is_flagged, {_LOADED}
@@ -377,7 +385,7 @@ def _audit(table: str, name: str, measures: dict[str, str]) -> str:
 
 
 def _unit(key: str, label: str) -> str:
-    return f"(('0x' || left(md5('42:{label}:' || {key}), 8))::BIGINT::DOUBLE / 4294967296)"
+    return f"(('0x' || left(md5('42:{label}:' || coalesce({key}, '')), 8))::BIGINT::DOUBLE / 4294967296)"
 
 
 def _int(draw: str, low: int, high: int) -> str:
@@ -516,15 +524,15 @@ SELECT * EXCLUDE (_file_name) REPLACE (
 FROM raw_guests""",
     "ingest_try_cast": """
 SELECT * EXCLUDE (_file_name) REPLACE (
-    CASE WHEN reservation_id::BIGINT % 17 <> 0 THEN check_in_date END AS check_in_date,
-    CASE WHEN reservation_id::BIGINT % 19 <> 0 THEN booking_time END AS booking_time,
+    CASE WHEN reservation_id::BIGINT % 17 IS DISTINCT FROM 0 THEN check_in_date END AS check_in_date,
+    CASE WHEN reservation_id::BIGINT % 19 IS DISTINCT FROM 0 THEN booking_time END AS booking_time,
     TIMESTAMP '2024-01-01 06:00:00' AS _loaded_at)
 FROM raw_reservations""",
     "ingest_reject_rows": f"""
 SELECT * EXCLUDE (_file_name) REPLACE (
     CASE WHEN issue_detected_flag IS NOT NULL THEN {_TRUE.format('issue_detected_flag')} END AS issue_detected_flag,
     TIMESTAMP '2024-01-01 06:00:00' AS _loaded_at)
-FROM raw_housekeeping WHERE task_id::BIGINT % 31 <> 0 AND task_id::BIGINT % 37 <> 0""",
+FROM raw_housekeeping WHERE task_id::BIGINT % 31 IS DISTINCT FROM 0 AND task_id::BIGINT % 37 IS DISTINCT FROM 0""",
     "ingest_reject_log": """
 SELECT task_id,
   if(task_id::BIGINT % 31 = 0, 'later', CASE WHEN nanosecond(start_time) > 0
@@ -537,7 +545,7 @@ FROM raw_housekeeping WHERE task_id::BIGINT % 31 = 0 OR task_id::BIGINT % 37 = 0
     "bronze_append_reload": "FROM silver_reservations",
     "inc_file_filter": "FROM raw_guests_inc",
     "dedup_latest_bill": f"""
-SELECT * FROM raw_billing QUALIFY row_number() OVER (PARTITION BY bill_id ORDER BY {_BILL_ORDER}) = 1""",
+SELECT * FROM raw_billing {_latest('raw_billing', 'bill_id', _BILL)}""",
     "silver_guests": "FROM silver_guests",
     "silver_rooms": "FROM silver_rooms",
     "silver_reservations": "FROM silver_reservations",

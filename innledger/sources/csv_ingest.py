@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innledger.functions.columns import null_if_token
+from innledger.functions.columns import holds, null_if_token
 from innledger.operators.silver import clock
 from innledger.values import INCREMENT_PATTERN, LOAD_NULL_TOKENS
 
@@ -115,7 +115,7 @@ def increment_rows(raw: DataFrame, pattern: str = INCREMENT_PATTERN) -> DataFram
 
 def base_rows(raw: DataFrame, pattern: str = INCREMENT_PATTERN) -> DataFrame:
     """Rows of all other files."""
-    return raw.where(~F.col("_file_name").like(pattern))
+    return raw.where(~holds(F.col("_file_name").like(pattern)))
 
 
 def increment_rows_exact(raw: DataFrame, marker: str = "_inc") -> DataFrame:

@@ -38,8 +38,8 @@ DURATIONS = {"cleaning": (40, 15, 10, 90), "maintenance": (100, 40, 20, 200)}
 
 
 def uniform(key: str, label: str, seed: int) -> Column:
-    """Draw in [0, 1) from the first 32 bits of a digest."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:{label}:"), F.col(key)))
+    """Draw in [0, 1) from the first 32 bits of a digest; a missing key draws like an empty one."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{label}:"), F.coalesce(F.col(key), F.lit(""))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
