@@ -13,22 +13,21 @@ from innledger.operators.skew import salted_join
 from innledger.values import CANCEL_THRESHOLD, CANCEL_WINDOW_HOURS, MISMATCH_TOLERANCE
 
 
-def flag_double_bookings(reservations: DataFrame) -> DataFrame:
-    """Sets `is_double_booked` where two live stays of a room share a night; needs check-out >= check-in.
+def double_booked_keys(reservations: DataFrame) -> DataFrame:
+    """Keys of live stays that share a night in a room with another one; needs check-out >= check-in.
 
     A stay overlaps another one exactly if an earlier arrival leaves after it begins, or another stay
     of at least one night arrives on the same day, or someone arrives before it ends. All three can be
     read from one row per room and arrival day. Rows are folded into these before any room is gathered,
     so a room's window holds at most one row per calendar day, however many reservations it has.
     """
-    live = (F.col("status") != "cancelled") & F.col("room_sk").isNotNull()
-    days = (
-        reservations.where(live)
-        .groupBy(F.col("room_sk").alias("_room_sk"), F.col("check_in_date").alias("_day"))
-        .agg(
-            F.max("check_out_date").alias("_last_out"),
-            F.count_if(F.col("check_out_date") > F.col("check_in_date")).alias("_staying"),
-        )
+    check_in, check_out = F.col("check_in_date"), F.col("check_out_date")
+    live = reservations.where((F.col("status") != "cancelled") & F.col("room_sk").isNotNull()).select(
+        "reservation_sk", "room_sk", "check_in_date", "check_out_date"
+    )
+    days = live.groupBy(F.col("room_sk").alias("_room_sk"), check_in.alias("_day")).agg(
+        F.max("check_out_date").alias("_last_out"),
+        F.count_if(check_out > check_in).alias("_staying"),
     )
     by_day = Window.partitionBy("_room_sk").orderBy("_day")
     earlier = by_day.rowsBetween(Window.unboundedPreceding, -1)
@@ -39,36 +38,58 @@ def flag_double_bookings(reservations: DataFrame) -> DataFrame:
         F.lead("_day").over(by_day).alias("_next_in"),
         "_staying",
     )
-    check_in, check_out = F.col("check_in_date"), F.col("check_out_date")
     clash = (
         holds(F.col("_earlier_out") > check_in)
         | holds((F.col("_staying") > 1) & (check_out > check_in))
         | holds(F.col("_next_in") < check_out)
     )
     same_day = (F.col("room_sk") == F.col("_room_sk")) & (check_in == F.col("_day"))
-    joined = reservations.join(around, same_day, "left")
-    return joined.withColumn("is_double_booked", holds(live & clash)).select(*reservations.columns)
+    return live.join(around, same_day).where(clash).select("reservation_sk")
 
 
-def flag_suspicious_cancels(
+def suspicious_cancel_keys(
     reservations: DataFrame,
     as_of: dt.datetime,
     hours: int = CANCEL_WINDOW_HOURS,
     threshold: int = CANCEL_THRESHOLD,
 ) -> DataFrame:
-    """Sets `is_suspicious_cancel` on all cancellations of guests with more than `threshold` recent ones."""
-    cancelled = F.col("status") == "cancelled"
+    """Keys of all cancellations of guests with more than `threshold` recent ones."""
+    cancelled = reservations.where((F.col("status") == "cancelled") & F.col("guest_sk").isNotNull())
     since = clock(as_of - dt.timedelta(hours=hours))
     suspects = (
-        reservations.where(cancelled & F.col("guest_sk").isNotNull() & (F.col("cancellation_time") >= since))
+        cancelled.where(F.col("cancellation_time") >= since)
         .groupBy(F.col("guest_sk").alias("_suspect"))
         .count()
         .where(F.col("count") > threshold)
         .select("_suspect")
     )
-    joined = salted_join(reservations, suspects, "guest_sk", "_suspect", ["reservation_id"], "left")
-    flag = holds(cancelled & F.col("_suspect").isNotNull())
-    return joined.withColumn("is_suspicious_cancel", flag).select(*reservations.columns)
+    narrow = cancelled.select("reservation_sk", "guest_sk")
+    return salted_join(narrow, suspects, "guest_sk", "_suspect", ["reservation_sk"], "left_semi").select(
+        "reservation_sk"
+    )
+
+
+def _mark(reservations: DataFrame, keys: DataFrame, flag: str) -> DataFrame:
+    """Sets the flag on the given keys. Detection moves narrow rows; only this moves whole ones."""
+    marked = keys.select(F.col("reservation_sk").alias("_marked"))
+    joined = reservations.join(marked, F.col("reservation_sk") == F.col("_marked"), "left")
+    return joined.withColumn(flag, F.col("_marked").isNotNull()).select(*reservations.columns)
+
+
+def flag_double_bookings(reservations: DataFrame) -> DataFrame:
+    """Sets `is_double_booked`."""
+    return _mark(reservations, double_booked_keys(reservations), "is_double_booked")
+
+
+def flag_suspicious_cancels(
+    reservations: DataFrame,
+    as_of: dt.datetime,
+    hours: int = CANCEL_WINDOW_HOURS,
+    threshold: int = CANCEL_THRESHOLD,
+) -> DataFrame:
+    """Sets `is_suspicious_cancel`."""
+    keys = suspicious_cancel_keys(reservations, as_of, hours, threshold)
+    return _mark(reservations, keys, "is_suspicious_cancel")
 
 
 def refresh_sla_flags(tasks: DataFrame) -> DataFrame:
@@ -95,8 +116,10 @@ def flag_reservations(
     hours: int = CANCEL_WINDOW_HOURS,
     threshold: int = CANCEL_THRESHOLD,
 ) -> DataFrame:
-    """Both reservation flags."""
-    return flag_suspicious_cancels(flag_double_bookings(reservations), as_of, hours, threshold)
+    """Both reservation flags. Both sets of keys meet the rows on the same key, in one shuffle."""
+    doubles = double_booked_keys(reservations)
+    cancels = suspicious_cancel_keys(reservations, as_of, hours, threshold)
+    return _mark(_mark(reservations, doubles, "is_double_booked"), cancels, "is_suspicious_cancel")
 
 
 def run_anomalies(

@@ -68,7 +68,9 @@ def test_one_crowded_room(spark):
 
 def cancels(spark, data, **options):
     schema = "reservation_id string, guest_sk bigint, cancellation_time timestamp_ntz, status string"
-    df = spark.createDataFrame(data, schema).withColumn("is_suspicious_cancel", F.lit(False))
+    df = spark.createDataFrame(data, schema).withColumns(
+        {"is_suspicious_cancel": F.lit(False), "reservation_sk": F.xxhash64("reservation_id")}
+    )
     flagged = anomaly.flag_suspicious_cancels(df, dt.datetime(2024, 1, 2), **options)
     assert flagged.count() == len(data)
     return [r[0] for r in rows(flagged.where("is_suspicious_cancel"), "reservation_id")]
