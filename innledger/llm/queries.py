@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from innledger.llm.near_dup import near_duplicates
 from innledger.llm.quality import quality_rules
 from innledger.llm.token_counts import token_counts
 from innledger.llm.token_file import read_tokens, write_tokens
@@ -33,7 +34,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_token_counts, op6_token_file, op7_quality_rules)
+    f.__name__: f for f in (op5_token_counts, op6_token_file, op7_quality_rules, op10_minhash_near_dedup)
 }
 ORACLES: dict[str, str] = {}
