@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from innledger.llm.decontaminate import leaks
 from innledger.llm.near_dup import near_duplicates
 from innledger.llm.quality import quality_rules
 from innledger.llm.token_counts import token_counts
 from innledger.llm.token_file import read_tokens, write_tokens
+from innledger.llm.warc import read_archive, write_archive
 from innledger.session import new_folder
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -20,6 +23,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "archive")
+    write_archive(_table(spark, sf_dir, "pages"), folder)
+    return read_archive(spark, folder)
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_words", "covered", F.size("tiles").alias("n_tiles"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
@@ -39,6 +53,23 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_token_counts, op6_token_file, op7_quality_rules, op10_minhash_near_dedup)
+    f.__name__: f
+    for f in (
+        op2_warc_archive,
+        op3_benchmark_decontamination,
+        op5_token_counts,
+        op6_token_file,
+        op7_quality_rules,
+        op10_minhash_near_dedup,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op2_warc_archive": """
+        with p as (select page_id, encode(coalesce(html, '')) as body from pages),
+        d as (select page_id, octet_length(body) as n, sha256(body) as h from p),
+        f as (select *, min(page_id) over (partition by h) as first_id from d)
+        select page_id, n as payload_bytes, h as payload_digest,
+          case when n >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+          case when n >= 100 and page_id <> first_id then first_id end as refers_to
+        from f""",
 }
-ORACLES: dict[str, str] = {}
