@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innledger.llm.decontaminate import leaks
+from innledger.llm.line_dedup import dedup_lines
 from innledger.llm.near_dup import near_duplicates
 from innledger.llm.quality import quality_rules
 from innledger.llm.token_counts import token_counts
@@ -48,6 +49,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "removed")
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_token_counts,
         op6_token_file,
         op7_quality_rules,
+        op8_line_dedup,
         op10_minhash_near_dedup,
     )
 }
