@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innledger.llm.decontaminate import leaks
+from innledger.llm.langid import predict, train
 from innledger.llm.line_dedup import dedup_lines
 from innledger.llm.near_dup import near_duplicates
+from innledger.llm.pii import personal_data
 from innledger.llm.quality import quality_rules
 from innledger.llm.token_counts import token_counts
 from innledger.llm.token_file import read_tokens, write_tokens
@@ -24,6 +26,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "archive")
     write_archive(_table(spark, sf_dir, "pages"), folder)
@@ -35,6 +41,11 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "item_id", "n_words", "covered", F.size("tiles").alias("n_tiles"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return predict(documents, train(documents)).drop("spans")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
@@ -60,8 +71,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_personal_data,
         op2_warc_archive,
         op3_benchmark_decontamination,
+        op4_language_id,
         op5_token_counts,
         op6_token_file,
         op7_quality_rules,
