@@ -12,6 +12,7 @@ from innledger.llm.decontaminate import leaks
 from innledger.llm.langid import predict, train
 from innledger.llm.line_dedup import dedup_lines
 from innledger.llm.near_dup import near_duplicates
+from innledger.llm.piece_sampling import sampled_round_trip
 from innledger.llm.pii import personal_data
 from innledger.llm.quality import quality_rules
 from innledger.llm.token_counts import token_counts
@@ -20,6 +21,7 @@ from innledger.llm.warc import read_archive, write_archive
 from innledger.session import new_folder
 
 BPE_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +66,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "removed")
 
 
+def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_FILE))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_token_file,
         op7_quality_rules,
         op8_line_dedup,
+        op9_piece_sampling,
         op10_minhash_near_dedup,
     )
 }
