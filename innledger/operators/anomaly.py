@@ -97,17 +97,11 @@ def refresh_sla_flags(tasks: DataFrame) -> DataFrame:
 
 
 def flag_billing_mismatches(
-    bills: DataFrame, reservations: DataFrame, rooms: DataFrame, tolerance: float = MISMATCH_TOLERANCE
+    bills: DataFrame, tolerance: float = MISMATCH_TOLERANCE
 ) -> DataFrame:
-    """Sets `billing_mismatch` where a bill is off the price of its stay by more than `tolerance`."""
-    prices = rooms.where("is_current").select("room_sk", "base_price")
-    stays = reservations.join(prices, "room_sk").select(
-        F.col("reservation_sk").alias("_stay"),
-        (F.col("base_price") * F.col("length_of_stay")).alias("_agreed"),
-    )
-    joined = bills.join(stays, F.col("reservation_sk") == F.col("_stay"), "left")
-    off = F.abs(F.col("total_amount") - F.col("_agreed")) > tolerance
-    return joined.withColumn("billing_mismatch", holds(off)).select(*bills.columns)
+    """Sets `billing_mismatch` where a bill is off the price of its stay, which it carries, by more than `tolerance`."""
+    off = F.abs(F.col("total_amount") - F.col("agreed_amount")) > tolerance
+    return bills.withColumn("billing_mismatch", holds(off))
 
 
 def flag_reservations(
@@ -126,7 +120,6 @@ def run_anomalies(
     reservations: DataFrame,
     tasks: DataFrame,
     bills: DataFrame,
-    rooms: DataFrame,
     as_of: dt.datetime,
     hours: int = CANCEL_WINDOW_HOURS,
     threshold: int = CANCEL_THRESHOLD,
@@ -136,7 +129,7 @@ def run_anomalies(
     return (
         flag_reservations(reservations, as_of, hours, threshold),
         refresh_sla_flags(tasks),
-        flag_billing_mismatches(bills, reservations, rooms, tolerance),
+        flag_billing_mismatches(bills, tolerance),
     )
 
 

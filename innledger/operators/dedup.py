@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 def recency(df: DataFrame, keys: Sequence[str], first_ties: Sequence[str] = ()) -> list[str]:
     """Columns that rank the rows of a key, greatest first.
 
-    The load time leads. Rows of one load share it, so every other column follows and the choice does
-    not depend on the order in which rows arrive.
+    The load time leads, then the file's name, so that of the files of one load the later one counts. Every other column
+    follows, and the choice does not depend on the order in which rows arrive.
     """
-    rest = [c for c in df.columns if c not in (*keys, "_loaded_at", *first_ties)]
-    return ["_loaded_at", *first_ties, *rest]
+    first = [*[c for c in ("_loaded_at", "_file_name") if c in df.columns], *first_ties]
+    return [*first, *[c for c in df.columns if c not in (*keys, *first)]]
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], first_ties: Sequence[str] = ()) -> DataFrame:

@@ -163,6 +163,7 @@ def load_billing(
         "payment_mode",
         "payment_time",
         "is_flagged",
+        "agreed_amount",
         holds(mismatch).alias("billing_mismatch"),
     )
 

@@ -9,13 +9,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from innledger.functions.columns import any_of, holds
 from innledger.operators.dedup import latest_if
 from innledger.operators.silver import clock, valid_guest
-from innledger.operators.skew import salted_join
 from innledger.values import (
     GUEST_OVERWRITE,
     GUEST_TRACKED,
@@ -128,9 +127,9 @@ def merge_rooms(target: DataFrame, source: DataFrame, batch_ts: dt.datetime) ->
 
 
 def changed_history(versions: DataFrame, key: str) -> DataFrame:
-    """Every version of the keys that have more than one."""
-    repeated = versions.groupBy(F.col(key).alias("_key")).count().where("count > 1").select("_key")
-    return salted_join(versions, repeated, key, "_key", [key, "scd_version"], "left_semi")
+    """Every version of the keys that have more than one, in one shuffle: a key has few versions."""
+    per_key = F.count("*").over(Window.partitionBy(key))
+    return versions.withColumn("_versions", per_key).where("_versions > 1").drop("_versions")
 
 
 def merge_summary(merged: DataFrame, table: str) -> DataFrame:

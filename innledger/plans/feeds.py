@@ -15,7 +15,6 @@ from innledger.sources.csv_ingest import (
     increment_rows,
     parse_layout,
     read_csv_raw,
-    source_manifest,
 )
 from innledger.streaming.incremental import merge_increments
 from innledger.values import RAW_LAYOUTS, STAGE_NULL_TOKENS
@@ -89,11 +88,6 @@ def ingest_reject_log(w: Warehouse) -> DataFrame:
     return _strict_tasks(w)[1].select("task_id", "start_time", "issue_detected_flag", "rejected_columns")
 
 
-def sample_manifest(w: Warehouse) -> DataFrame:
-    """Files and bytes of every sample table."""
-    return source_manifest(w.spark, w.source, "*.parquet")
-
-
 def bronze_append_reload(w: Warehouse) -> DataFrame:
     """Reservations loaded twice, then validated: the copies leave no trace."""
     path = new_folder(w.spark, "raw-reservations")

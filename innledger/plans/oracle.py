@@ -53,7 +53,7 @@ _TASK = (
 
 def _latest(table: str, key: str, columns: str) -> str:
     """The latest row per key; rows of one load are told apart by all their columns, greatest first."""
-    order = ", ".join(f"{table}.{c} DESC NULLS LAST" for c in f"_loaded_at, {columns}, _file_name".split(", "))
+    order = ", ".join(f"{table}.{c} DESC NULLS LAST" for c in f"_loaded_at, _file_name, {columns}".split(", "))
     return f"QUALIFY row_number() OVER (PARTITION BY {table}.{key} ORDER BY {order}) = 1"
 
 
@@ -148,9 +148,11 @@ _FIRST_RULES = {
         f"'cancellation=' || {_AT.format('cancellation_time')} || ' | check_in=' || check_in_date",
     ),
     "dq_res_orphan_guest": _orphan(
-        "raw_reservations", "reservation_id", "guest_id", "silver_guests", "VAL_GUESTS"
+        "raw_reservations", "reservation_id", "guest_id", "guest_versions WHERE is_current", "VAL_GUESTS"
+    ),
+    "dq_res_orphan_room": _orphan(
+        "raw_reservations", "reservation_id", "room_id", "room_versions WHERE is_current", "VAL_ROOMS"
     ),
-    "dq_res_orphan_room": _orphan("raw_reservations", "reservation_id", "room_id", "silver_rooms", "VAL_ROOMS"),
     "dq_res_status": _rule(
         "raw_reservations", "reservation_id", "VALUE", "Invalid status — must be Confirmed/Cancelled/Completed",
         _BAD_RES, "'status=' || status",
@@ -160,7 +162,9 @@ _FIRST_RULES = {
         "start_time > end_time AND task_id IS NOT NULL",
         f"'start=' || {_AT.format('start_time')} || ' | end=' || {_AT.format('end_time')}",
     ),
-    "dq_hk_orphan_room": _orphan("raw_housekeeping", "task_id", "room_id", "silver_rooms", "VAL_ROOMS"),
+    "dq_hk_orphan_room": _orphan(
+        "raw_housekeeping", "task_id", "room_id", "room_versions WHERE is_current", "VAL_ROOMS"
+    ),
     "dq_hk_task_type": _rule(
         "raw_housekeeping", "task_id", "VALUE", "Invalid task_type — must be cleaning or maintenance",
         "lower(trim(task_type)) NOT IN ('cleaning', 'maintenance') AND task_id IS NOT NULL",
@@ -454,7 +458,7 @@ SELECT *, check_in_date + length_of_stay AS check_out_date FROM (
   FROM raw_reservations)""",
         "synthetic_housekeeping": f"""
 SELECT *, duration_minutes > {_LIMIT} AS sla_breached FROM (
-  SELECT 'T' || {t} AS task_id, {room(t)} AS room_id, {task} AS task_type,
+  SELECT 'T' || {t} AS task_id, {room(t)} AS room_id, {hotel(t)} AS hotel_id, {task} AS task_type,
     'Staff ' || {_int(_unit(t, 'staff'), 1, 6)} AS assigned_staff, {task_state} AS status,
     {_unit(t, 'issue')} < 0.20 AS issue_detected_flag,
     CASE WHEN {task} = 'cleaning' THEN {cleaning} ELSE {repair} END AS duration_minutes
@@ -462,9 +466,9 @@ SELECT *, duration_minutes > {_LIMIT} AS sla_breached FROM (
         "synthetic_billing": f"""
 SELECT *, (total_amount - discounts + taxes)::DECIMAL(18,2) AS net_amount FROM (
   SELECT *, round(total_amount * 0.10::DECIMAL(3,2), 2)::DECIMAL(18,2) AS taxes FROM (
-    SELECT 'B' || {r} AS bill_id, 'R' || {r} AS reservation_id,
+    SELECT 'B' || {r} AS bill_id, 'R' || {r} AS reservation_id, 'G' || {r} AS guest_id,
       round(200 + {_unit(r, 'amount')} * 1300, 2)::DECIMAL(18,2) AS total_amount,
-      ({discount})::DECIMAL(18,2) AS discounts, {mode} AS payment_mode, {day('paid')} AS payment_date,
+      ({discount})::DECIMAL(18,2) AS discounts, {mode} AS payment_mode, {day('paid')} AS payment_time,
       {_unit(r, 'flag')} < 0.08 AS is_flagged, {_unit(r, 'mismatch')} < 0.05 AS billing_mismatch
     FROM raw_reservations))""",
     }

@@ -11,17 +11,15 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
-from collections.abc import Callable
+from collections.abc import Sequence
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.plans import dashboard, kpi, reports
+from innledger.plans.registry import QUERIES, REPORTS
 from innledger.plans.warehouse import BUILDERS, Clock, Warehouse
-from innledger.session import content_stamp, fit_shuffles
 from innledger.sources.csv_ingest import (
-    append_raw,
     base_rows,
     cast_lenient,
     cast_strict,
@@ -38,18 +36,23 @@ STRICT_COLUMNS = {
 
 
 def load_bronze(spark: SparkSession, stage: str, bronze: str, loaded_at: dt.datetime) -> None:
-    """Appends every extract to its raw table, and rejected rows to `<entity>_rejects`.
+    """Adds every extract to its raw table, and rejected rows to `<entity>_rejects`.
 
-    A reload appends everything again; the validated layer keeps one copy.
+    A load is a folder of its own, so a run that is repeated replaces what it wrote before.
     """
+    load = f"load={loaded_at:%Y%m%dT%H%M%S}"
+
+    def write(rows: DataFrame, name: str) -> None:
+        rows.write.mode("overwrite").parquet(f"{bronze}/{name}/{load}")
+
     for entity, layout in RAW_LAYOUTS.items():
         raw = read_csv_raw(spark, f"{stage}/{entity}", layout, loaded_at)
         if entity in STRICT_COLUMNS:
             good, rejected = cast_strict(raw, layout, STRICT_COLUMNS[entity])
-            append_raw(rejected, f"{bronze}/{entity}_rejects")
+            write(rejected, f"{entity}_rejects")
         else:
             good = cast_lenient(raw, layout)
-        append_raw(good, f"{bronze}/{entity}")
+        write(good, entity)
 
 
 def file_warehouse(
@@ -59,7 +62,7 @@ def file_warehouse(
 
     def raw(name: str) -> DataFrame:
         entity = name.removeprefix("raw_").removesuffix("_inc")
-        table = spark.read.parquet(f"{root}/bronze/{entity}")
+        table = spark.read.parquet(f"{root}/bronze/{entity}").drop("load")
         if name.endswith("_inc"):
             return increment_rows(table)
         return base_rows(table) if entity in ("guests", "rooms") else table
@@ -68,35 +71,24 @@ def file_warehouse(
     return Warehouse(spark, stage, cache(raw), clock, f"{root}/layers", before)
 
 
-REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
-    "kpi1_occupancy": lambda w: kpi.kpi1_occupancy(w.table("fact_reservation"), w.table("dim_room")),
-    "kpi2_conversion": lambda w: kpi.kpi2_conversion(w.table("fact_reservation")),
-    "kpi3_sla": lambda w: kpi.kpi3_sla(w.table("fact_housekeeping")),
-    "kpi4_revpar": lambda w: kpi.kpi4_revpar(
-        w.table("fact_billing"), w.table("fact_reservation"), w.table("dim_room")
-    ),
-    "kpi5_billing_accuracy": lambda w: kpi.kpi5_billing_accuracy(w.table("fact_billing")),
-    "billing_stats": lambda w: reports.billing_stats(w.table("silver_billing")),
-    "kpi_summary": lambda w: dashboard.kpi_summary(
-        w.table("fact_reservation"),
-        w.table("dim_room").where("is_current"),
-        w.table("fact_housekeeping"),
-        w.table("fact_billing"),
-    ),
-}
-
-
 def run(
-    spark: SparkSession, stage: str, root: str, clock: Clock, previous: str | None = None
+    spark: SparkSession,
+    stage: str,
+    root: str,
+    clock: Clock,
+    previous: str | None = None,
+    reports: Sequence[str] = tuple(REPORTS),
 ) -> Warehouse:
-    total_bytes, _, _ = content_stamp(spark, stage)
-    fit_shuffles(spark, total_bytes)
     load_bronze(spark, stage, f"{root}/bronze", clock.loaded)
     w = file_warehouse(spark, stage, root, clock, previous)
     for table in BUILDERS:
-        w.stored(table)
-    for name, report in REPORTS.items():
-        dated = report(w).select(F.lit(clock.merged.isoformat()).alias("as_of"), "*")
+        # The first load of guests and rooms; a carried run merges all that came into the versions before it.
+        if previous is None or table not in ("silver_guests", "silver_rooms"):
+            w.stored(table)
+    # The final state of the log, with the value checks of the second round.
+    QUERIES["dq_log_rebuild"](w).write.mode("overwrite").parquet(f"{root}/layers/dq_log_final")
+    for name in reports:
+        dated = QUERIES[name](w).select(F.lit(clock.merged.isoformat()).alias("as_of"), "*")
         dated.write.mode("overwrite").parquet(f"{root}/reports/{name}")
     return w
 

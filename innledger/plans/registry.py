@@ -126,7 +126,6 @@ QUERIES: dict[str, Query] = {
     "ingest_reject_rows": feeds.ingest_reject_rows,
     "ingest_reject_log": feeds.ingest_reject_log,
     "bronze_append_reload": feeds.bronze_append_reload,
-    "source_manifest": feeds.sample_manifest,
     "inc_file_filter": feeds.increment_guests,
     "synthetic_guests": _synthetic(synthetic.synthetic_guests, "raw_guests", "guest_id"),
     "synthetic_rooms": _synthetic(synthetic.synthetic_rooms, "raw_rooms", "room_id"),
@@ -164,14 +163,14 @@ QUERIES: dict[str, Query] = {
     "dq_res_dates": _row_rule("raw_reservations", "dq_res_dates"),
     "dq_res_cancel_late": _row_rule("raw_reservations", "dq_res_cancel_late"),
     "dq_res_orphan_guest": _orphans(
-        "raw_reservations", "reservation_id", "guest_id", "silver_guests", "VAL_GUESTS"
+        "raw_reservations", "reservation_id", "guest_id", "guest_versions", "VAL_GUESTS"
     ),
     "dq_res_orphan_room": _orphans(
-        "raw_reservations", "reservation_id", "room_id", "silver_rooms", "VAL_ROOMS"
+        "raw_reservations", "reservation_id", "room_id", "room_versions", "VAL_ROOMS"
     ),
     "dq_res_status": _row_rule("raw_reservations", "dq_res_status"),
     "dq_hk_times": _row_rule("raw_housekeeping", "dq_hk_times"),
-    "dq_hk_orphan_room": _orphans("raw_housekeeping", "task_id", "room_id", "silver_rooms", "VAL_ROOMS"),
+    "dq_hk_orphan_room": _orphans("raw_housekeeping", "task_id", "room_id", "room_versions", "VAL_ROOMS"),
     "dq_hk_task_type": _row_rule("raw_housekeeping", "dq_hk_task_type"),
     "dq_billing_negative": _row_rule("raw_billing", "dq_billing_negative"),
     "dq_billing_orphan_res": _billing_relation("dq_billing_orphan_res"),
@@ -244,11 +243,7 @@ QUERIES: dict[str, Query] = {
         anomaly.refresh_sla_flags(w.table("fact_housekeeping")), "task_id", "sla_breached"
     ),
     "anomaly_billing_mismatch": lambda w: _flag(
-        anomaly.flag_billing_mismatches(
-            w.table("fact_billing"), w.table("fact_reservation"), w.table("dim_room")
-        ),
-        "bill_id",
-        "billing_mismatch",
+        anomaly.flag_billing_mismatches(w.billing_load(), w.clock.tolerance), "bill_id", "billing_mismatch"
     ),
     "anomaly_summary": _report(
         anomaly.anomaly_summary, "fact_reservation", "fact_housekeeping", "fact_billing"
@@ -308,5 +303,14 @@ QUERIES: dict[str, Query] = {
 }
 
 
+#: What a run of the pipeline writes out: audits, checks, indicators, reports and dashboard data.
+REPORTS = [
+    *["scd2_audit", "ri_checks", "temporal_checks", "silver_row_counts", "dq_key_uniqueness", "dq_log_summary"],
+    *["anomaly_summary", "current_guests", "current_rooms", "guest_versions"],
+    *[name for name in QUERIES if name.startswith("kpi")],
+    *list(QUERIES)[list(QUERIES).index("guest_tier_distribution") :],
+]
+
+
 def query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: QUERIES[name](warehouse(spark, sf_dir))

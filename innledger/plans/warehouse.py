@@ -18,20 +18,21 @@ from pyspark.sql.types import StructType
 
 from innledger.operators import anomaly, dq, gold, scd, silver
 from innledger.operators.keys import PART, POSITION, assign_keys, with_positions
-from innledger.session import content_stamp, fit_shuffles, new_folder
+from innledger.session import content_stamp, new_folder
 from innledger.sources.sample_views import SOURCE_TABLES, raw_view
-from innledger.values import CANCEL_THRESHOLD, CANCEL_WINDOW_HOURS
+from innledger.values import CANCEL_THRESHOLD, CANCEL_WINDOW_HOURS, MISMATCH_TOLERANCE
 
 
 @dataclass(frozen=True)
 class Clock:
-    """When the first load and the merge of increments happen, and which cancellations count as recent."""
+    """When the first load and the merge of increments happen, and the parameters of the detections."""
 
     loaded: dt.datetime
     merged: dt.datetime
     cancels_as_of: dt.datetime
     cancels_hours: int = CANCEL_WINDOW_HOURS
     cancels_threshold: int = CANCEL_THRESHOLD
+    tolerance: float = MISMATCH_TOLERANCE
 
 
 class Warehouse:
@@ -106,19 +107,24 @@ class Warehouse:
             return self.table(first)
         return self.spark.read.parquet(f"{self.previous}/{versions}").drop(PART, POSITION, "action")
 
+    def _arrived(self, name: str) -> DataFrame:
+        """What is merged: the increment, and in a carried run the base rows too, which no first load takes."""
+        increment = self.raw(f"{name}_inc")
+        return increment if self.previous is None else self.raw(name).unionByName(increment)
+
     def merged_guests(self) -> DataFrame:
         before = self._versions_before("guest_versions", "silver_guests")
-        return scd.merge_guests(before, self.raw("raw_guests_inc"), self.clock.merged)
+        return scd.merge_guests(before, self._arrived("raw_guests"), self.clock.merged)
 
     def merged_rooms(self) -> DataFrame:
         before = self._versions_before("room_versions", "silver_rooms")
-        return scd.merge_rooms(before, self.raw("raw_rooms_inc"), self.clock.merged)
+        return scd.merge_rooms(before, self._arrived("raw_rooms"), self.clock.merged)
 
     def first_log(self) -> DataFrame:
         return dq.first_log(
             self.raws(),
-            self.table("silver_guests"),
-            self.table("silver_rooms"),
+            self.table("guest_versions"),
+            self.table("room_versions"),
             self.table("silver_reservations"),
         )
 
@@ -133,12 +139,16 @@ class Warehouse:
             self.keyed("silver_reservations", "reservation_sk"), self.table("dim_guest"), self.table("dim_room")
         )
 
-    def flagged_reservations(self) -> DataFrame:
-        return anomaly.flag_reservations(
+    def anomalies(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The reservation, housekeeping and billing facts with all flags of the detections."""
+        return anomaly.run_anomalies(
             self.table("reservation_load"),
+            self.housekeeping_load(),
+            self.billing_load(),
             self.clock.cancels_as_of,
             self.clock.cancels_hours,
             self.clock.cancels_threshold,
+            self.clock.tolerance,
         )
 
     def housekeeping_load(self) -> DataFrame:
@@ -163,9 +173,9 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_guest": Warehouse.dim_guest,
     "dim_room": Warehouse.dim_room,
     "reservation_load": Warehouse.reservation_load,
-    "fact_reservation": Warehouse.flagged_reservations,
-    "fact_housekeeping": Warehouse.housekeeping_load,
-    "fact_billing": Warehouse.billing_load,
+    "fact_reservation": lambda w: w.anomalies()[0],
+    "fact_housekeeping": lambda w: w.anomalies()[1],
+    "fact_billing": lambda w: w.anomalies()[2],
 }
 
 # Clock of the sample tables, which end in 2001.
@@ -177,6 +187,13 @@ SAMPLE_CLOCK = Clock(
     cancels_threshold=1,
 )
 
+def _bronze(w: Warehouse, name: str, view: DataFrame) -> DataFrame:
+    """A raw table as stored: what queries read again and again is made from the sample tables once."""
+    path = w.path(f"bronze/{name}")
+    view.write.mode("overwrite").parquet(path)
+    return w.spark.read.schema(view.schema).parquet(path)
+
+
 _open: dict[tuple, Warehouse] = {}
 _open_lock = threading.Lock()
 
@@ -191,8 +208,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     identity = (spark.sparkContext.applicationId, sf_dir, stamps)
     with _open_lock:
         if identity not in _open:
-            fit_shuffles(spark, max(size for size, _, _ in stamps))
             read = cache(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
-            raw = cache(lambda name: raw_view(spark, name, read))
-            _open[identity] = Warehouse(spark, sf_dir, raw, SAMPLE_CLOCK)
+            w = Warehouse(spark, sf_dir, cache(lambda name: _bronze(w, name, raw_view(spark, name, read))), SAMPLE_CLOCK)
+            _open[identity] = w
         return _open[identity]

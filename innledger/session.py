@@ -27,23 +27,6 @@ def local_session(cpus: int | str = "*", memory: str = "8g", **conf: str) -> Spa
     return session
 
 
-BYTES_PER_PARTITION = 256 << 20
-MOST_PARTITIONS = 50_000
-
-
-def fit_shuffles(spark: SparkSession, largest_table: int) -> None:
-    """Lets shuffles start with enough partitions for the largest input.
-
-    Only ever raises the number. Adaptive execution merges partitions that turn out small, so the
-    setting costs nothing where a query moves little data.
-    """
-    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    present = int(spark.conf.get(setting, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(largest_table // BYTES_PER_PARTITION, MOST_PARTITIONS)
-    if wanted > present:
-        spark.conf.set(setting, str(wanted))
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 

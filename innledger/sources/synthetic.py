@@ -130,6 +130,7 @@ def synthetic_housekeeping(keys: DataFrame, key: str, seed: int = 42) -> DataFra
     tasks = keys.select(
         F.concat(F.lit("T"), F.col(key)).alias("task_id"),
         uniform_int(draw("room"), ROOMS_FROM, ROOMS_FROM + ROOMS).cast("string").alias("room_id"),
+        any_one(draw("hotel"), HOTEL_IDS).alias("hotel_id"),
         weighted(draw("task"), TASKS).alias("task_type"),
         F.concat(F.lit("Staff "), uniform_int(draw("staff"), 1, STAFF + 1)).alias("assigned_staff"),
         weighted(draw("state"), TASK_STATES).alias("status"),
@@ -150,10 +151,11 @@ def synthetic_billing(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
     bills = keys.select(
         F.concat(F.lit("B"), F.col(key)).alias("bill_id"),
         F.concat(F.lit("R"), F.col(key)).alias("reservation_id"),
+        F.concat(F.lit("G"), F.col(key)).alias("guest_id"),
         amount.alias("total_amount"),
         weighted(draw("discount"), DISCOUNTS).cast("decimal(18,2)").alias("discounts"),
         weighted(draw("mode"), MODES).alias("payment_mode"),
-        F.date_add(F.lit(FIRST_DAY).cast("date"), uniform_int(draw("paid"), 0, DAYS)).alias("payment_date"),
+        F.date_add(F.lit(FIRST_DAY).cast("date"), uniform_int(draw("paid"), 0, DAYS)).alias("payment_time"),
         chance(draw("flag"), 0.08).alias("is_flagged"),
         chance(draw("mismatch"), 0.05).alias("billing_mismatch"),
     )

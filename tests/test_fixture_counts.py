@@ -25,10 +25,10 @@ RULES = {
     "dq_res_dates": (8, 77),
     "dq_res_cancel_late": (41, 382),
     "dq_res_orphan_guest": (52, 227),
-    "dq_res_orphan_room": (100, 1020),
+    "dq_res_orphan_room": (60, 610),
     "dq_res_status": (8, 76),
     "dq_hk_times": (11, 111),
-    "dq_hk_orphan_room": (60, 690),
+    "dq_hk_orphan_room": (60, 401),
     "dq_hk_task_type": (201, 2014),
     "dq_billing_negative": (120, 1649),
     "dq_billing_orphan_res": (235, 2208),
@@ -89,7 +89,7 @@ def test_anomalies_on_first_versions(spark, scale):
     assert strict.where("is_suspicious_cancel").count() == 0
 
     for tolerance, expected in ((500, (4040, 39892)), (30000, (2790, 27400))):
-        flagged = anomaly.flag_billing_mismatches(bills, stays, rooms, tolerance)
+        flagged = anomaly.flag_billing_mismatches(bills, tolerance)
         assert flagged.where("billing_mismatch").count() == expected[scale]
     assert bills.where("billing_mismatch").count() == (4040, 39892)[scale]
 

@@ -5,19 +5,11 @@ from innledger import session
 from innledger.plans.registry import QUERIES
 from innledger.plans.warehouse import SOURCE_TABLES, warehouse
 
-PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-
-def test_shuffles_grow_with_the_input_only(spark):
-    try:
-        session.fit_shuffles(spark, 10 << 20)
-        assert spark.conf.get(PARTITIONS, None) is None
-        session.fit_shuffles(spark, 1 << 40)
-        assert spark.conf.get(PARTITIONS) == "4096"
-        session.fit_shuffles(spark, 1 << 30)
-        assert spark.conf.get(PARTITIONS) == "4096"
-    finally:
-        spark.conf.unset(PARTITIONS)
+def test_opening_a_warehouse_leaves_the_settings_alone(spark):
+    before = {r.key: r.value for r in spark.sql("set").collect()}
+    warehouse(spark, sample_dir("0.001"))
+    assert {r.key: r.value for r in spark.sql("set").collect()} == before
 
 
 def test_layers_lie_in_the_shared_folder(spark):
@@ -28,11 +20,11 @@ def test_layers_lie_in_the_shared_folder(spark):
 
 def test_replaced_files_give_a_new_warehouse(spark, tmp_path):
     for table in {t for tables in SOURCE_TABLES.values() for t in tables}:
-        shutil.copy(f"{sample_dir('0.001')}/{table}.parquet", tmp_path / f"{table}.parquet")
+        shutil.copyfile(f"{sample_dir('0.001')}/{table}.parquet", tmp_path / f"{table}.parquet")
     first = warehouse(spark, str(tmp_path))
     assert warehouse(spark, str(tmp_path)) is first
     before = QUERIES["kpi2_conversion"](first).first().total_reservations
-    shutil.copy(f"{sample_dir('0.01')}/orders.parquet", tmp_path / "orders.parquet")
+    shutil.copyfile(f"{sample_dir('0.01')}/orders.parquet", tmp_path / "orders.parquet")
     second = warehouse(spark, str(tmp_path))
     assert second is not first
     after = QUERIES["kpi2_conversion"](second).first().total_reservations
