@@ -14,15 +14,11 @@ from functools import cache
 import numpy as np
 
 #: Pieces a worker keeps; beyond, it starts anew between two runs of rows.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 800_000
 #: Characters that count as white space in Python, at least all that do so for the tokenizer.
 _BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace()]
 #: Pieces encoded as one text.
 RUN_PIECES = 4096
-#: Runs of letters, with the space before, and what is between. No apostrophe (it may take letters with it) and no two
-#: white spaces on end (the last may belong to what follows).
-_PLAIN = re.compile(r" ?(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff0-9.,;:!?()\"#*$%&|<>@_+/=-]|\n(?!\n))+")
-_PARTS = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[^A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _CUT = re.compile(r"(?= \S)")
 
 
@@ -57,39 +53,53 @@ def cut(text: str) -> list[str]:
     return [first, *(p[1:] for p in rest)]
 
 
+def room(array: np.ndarray, size: int) -> np.ndarray:
+    return array if size <= len(array) else np.concatenate((array, np.zeros(max(size, len(array)), array.dtype)))
+
+
 class Codes:
-    """Token ids of many pieces, one after another."""
+    """Token ids of many pieces, one after another, in arrays that grow by doubling."""
 
     def __init__(self, ids: list[int]):
-        self.ids = np.array(ids, np.uint32)
-        self.starts = np.arange(len(ids), dtype=np.int64)
-        self.lens = np.ones(len(ids), np.int64)
+        self.n, self.total = len(ids), len(ids)
+        self._ids = np.array([*ids, 0], np.uint32)
+        self._starts = np.arange(len(ids) + 1, dtype=np.int64)
+        self._lens = np.ones(len(ids) + 1, np.int32)
+
+    @property
+    def lens(self) -> np.ndarray:
+        return self._lens
 
     def add(self, ids: np.ndarray, lens: np.ndarray) -> None:
-        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lens) - lens)
-        self.lens = np.append(self.lens, lens)
-        self.ids = np.append(self.ids, ids)
+        n, total = self.n + len(lens), self.total + len(ids)
+        self._ids = room(self._ids, total)
+        self._starts, self._lens = room(self._starts, n), room(self._lens, n)
+        self._ids[self.total : total] = ids
+        self._lens[self.n : n] = lens
+        self._starts[self.n : n] = self.total + np.cumsum(lens) - lens
+        self.n, self.total = n, total
 
     def take(self, places: np.ndarray) -> np.ndarray:
-        lens = self.lens[places]
-        ends = np.cumsum(lens)
+        lens = self._lens[places]
+        ends = np.cumsum(lens, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.arange(total) + np.repeat(self.starts[places] - ends + lens, lens)]
+        return self._ids[np.arange(total) + np.repeat(self._starts[places] - ends + lens, lens)]
 
 
 class PieceCache:
-    """Token ids of pieces, gathered per run of texts without a Python step per token.
-
-    A piece not seen before is put together from its runs of letters and what stands between them, which are cached
-    too, where the splitting rule is sure to cut there.
-    """
+    """Token ids of pieces, gathered per run of texts without a Python step per token."""
 
     def __init__(self, path: str, limit: int = CACHE_PIECES):
         self.tokenizer = tokenizer(path)
+        self.encode_batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.limit = limit
         self.specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         pattern = "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True)))
         self.special = re.compile(f"({pattern})")
+        # Byte-level tokens are written with one character for each byte.
+        sizes = {i: len(t) for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
+        self.bytes_of = np.zeros(max([*sizes, *self.specials.values()]) + 1, np.int64)
+        self.bytes_of[list(sizes)] = list(sizes.values())
         self.special_place = {s: i for i, s in enumerate(self.specials)}
         self.clear()
 
@@ -98,11 +108,8 @@ class PieceCache:
         size = self.size = [len(self.specials)]
         self.rest, self.first = _Places(" ", self.pending, size), _Places("", self.pending, size)
         self.pieces = Codes(list(self.specials.values()))
-        self.new_parts: list[str] = []
-        self.parts_at = _Places("", self.new_parts, [0])
-        self.parts = Codes([])
 
-    def make_room(self) -> None:
+    def makeroom(self) -> None:
         if self.size[0] > self.limit:
             self.clear()
 
@@ -123,7 +130,7 @@ class PieceCache:
 
     def places(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Places of the pieces of all texts, and how many each text has."""
-        self.make_room()
+        self.makeroom()
         found: list[int] = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
@@ -138,33 +145,29 @@ class PieceCache:
         """Encodes the pieces that are new."""
         if not self.pending:
             return
-        split = [_PARTS.findall(p) if _PLAIN.fullmatch(p) else (p,) for p in self.pending]
-        self.pending.clear()
-        flat = [self.parts_at[part] for parts in split for part in parts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        self._encode_parts()
-        at = np.array(flat, np.int64)
-        self.pieces.add(self.parts.take(at), sums(self.parts.lens[at], counts))
-
-    def _encode_parts(self) -> None:
-        for start in range(0, len(self.new_parts), RUN_PIECES):
-            run = self.new_parts[start : start + RUN_PIECES]
-            mark = np.fromiter((p[:1] == " " and p[1:2] != "" and not p[1].isspace() for p in run), bool, len(run))
-            alone = [e.ids for e in self.tokenizer.encode_batch([run[i] for i in np.flatnonzero(~mark)], add_special_tokens=False)]
-            # Pieces that begin with a space and a visible character may stand one after another in one text.
-            joined = [run[i] for i in np.flatnonzero(mark)]
-            whole = self.tokenizer.encode("".join(joined), add_special_tokens=False)
-            ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
-            begins = np.fromiter((o[0] for o in whole.offsets), np.int64, len(whole.offsets))
+        for start in range(0, len(self.pending), RUN_PIECES):
+            run = self.pending[start : start + RUN_PIECES]
+            mark = np.array([p[0:1] == " " and p[1:2] != "" and not p[1].isspace() for p in run])
+            # Pieces that begin with a space and a visible character may stand one after another in one text; the bytes
+            # of its tokens tell whose they are.
+            joined = run if mark.all() else [run[i] for i in np.flatnonzero(mark)]
+            alone = [run[i] for i in np.flatnonzero(~mark)]
+            whole, *single = self.encode_batch(["".join(joined), *alone], add_special_tokens=False)
+            found = np.array(whole.ids, np.int64)
+            ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in joined])
+            owner = np.searchsorted(ends, np.cumsum(self.bytes_of[found]))
             lens = np.zeros(len(run), np.int64)
-            lens[~mark] = [len(x) for x in alone]
-            lens[mark] = np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(joined))
-            ids = np.zeros(int(lens.sum()), np.uint32)
+            lens[mark] = np.bincount(owner, minlength=len(joined))
+            if not alone:
+                self.pieces.add(found, lens)
+                continue
+            lens[~mark] = [len(e.ids) for e in single]
+            ids = np.zeros(int(lens.sum()), np.int64)
             of_joined = np.repeat(mark, lens)
-            ids[of_joined] = whole.ids
-            ids[~of_joined] = [i for x in alone for i in x]
-            self.parts.add(ids, lens)
-        self.new_parts.clear()
+            ids[of_joined] = found
+            ids[~of_joined] = [i for e in single for i in e.ids]
+            self.pieces.add(ids, lens)
+        self.pending.clear()
 
     def counts(self, texts: list[str | None]) -> np.ndarray:
         """Number of tokens of each text."""
