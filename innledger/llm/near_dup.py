@@ -2,15 +2,16 @@
 
 A document is its set of word shingles; documents with equal sets are one node of the search, represented by the smallest
 id. Each of ROOTS trees sends a document to the child named by its minimum under the tree's own hash function. A child
-with at most SMALL documents is compared exhaustively, on 128-bit sketches. A larger one is split again: a document goes on
+with at most SMALL documents is compared exhaustively, on 256-bit sketches. A larger one is split again: a document goes on
 to one or, in one case of three, two children, by hash functions that the path itself chooses, so on average to 4/3 of a
 child: two documents at the threshold of 3/4 then meet in one child of each split on average, and the trees make up for
-the splits in which they don't. Before a split, one member is compared with all others; members nearly equal to it
-leave, since it stands for them further down. A very large group of near copies so melts in a few splits, without all its
-pairs. What is still large after DEPTH splits is compared block by block.
+the splits in which they don't. Before a split, one member is compared with all others, and a node whose members are all
+connected by confirmed links is done: what matters is who is connected, not each link. A very large group of near copies
+mostly ends there, without all its pairs. Nodes of middling size, and what is still large after DEPTH splits, are compared
+block by block, and only members of different components.
 
 Sketches only choose pairs: a pair is linked if its full shingle sets say so. A pair at the threshold passes the sketch
-with probability above 0.9999 and meets in at least one of the trees' first children with probability 1 - 4**-24.
+with probability above 0.99 and meets in at least one of the trees' first children with probability 1 - 4**-24.
 
 Null texts and texts without words have an empty set and are linked with nothing. A text with fewer words than a shingle is
 one shingle. Repeated rows give repeated rows with the same result; rows that share an id share its group. A null id counts
@@ -34,12 +35,16 @@ from innledger.session import new_folder
 
 SHINGLE = 5
 PERCENT = 75
-ROOTS, SMALL, DEPTH = 24, 48, 14
-#: Minwise values kept for choosing children; sketch bits; bits that a candidate pair shares at least (about half of the
-#: shingles in common; 4 standard deviations below a pair at the threshold), and that nearly equal documents share.
-VALUES, BITS, NEAR_BITS, SAME_BITS = 48, 128, 96, 122
-
-PROFILE = "doc_id long, n_shingles long, set_lo long, set_hi long, s1 long, s2 long, minima array<int>"
+ROOTS, SMALL, DEPTH = 24, 128, 14
+#: Nodes up to this size are compared block by block instead of being split, and so is what is left after DEPTH splits;
+#: members of a block.
+MIDDLE, BLOCK = 4096, 1024
+#: Minwise values kept for choosing children; sketch bits; bits that a candidate pair shares at least: 2.6 standard
+#: deviations below what a pair at the threshold shares.
+VALUES, BITS, NEAR_BITS = 48, 256, 210
+
+PROFILE = "doc_id long, n_shingles long, set_lo long, set_hi long, s0 long, s1 long, s2 long, s3 long, minima array<int>"
+SKETCH = ["s0", "s1", "s2", "s3"]
 _SEEDS = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 32, (BITS, 2), dtype=np.uint64).astype(np.uint32)
 _SEEDS[:, 0] |= np.uint32(1)
 
@@ -71,7 +76,7 @@ def profiles(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
             some = np.flatnonzero(counts)
             starts = (np.cumsum(counts) - counts)[some]
             names = np.zeros((2, n), np.uint64)
-            sketch = np.zeros((2, n), np.uint64)
+            sketch = np.zeros((BITS // 64, n), np.uint64)
             minima = np.zeros((n, VALUES), np.int32)
             if len(some):
                 for i in range(2):
@@ -90,8 +95,7 @@ def profiles(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
                     "n_shingles": counts.astype(np.int64),
                     "set_lo": names[0].view(np.int64),
                     "set_hi": names[1].view(np.int64),
-                    "s1": sketch[0].view(np.int64),
-                    "s2": sketch[1].view(np.int64),
+                    **{name: bits.view(np.int64) for name, bits in zip(SKETCH, sketch, strict=True)},
                     "minima": pa.ListArray.from_arrays(
                         pa.array(np.arange(0, (n + 1) * VALUES, VALUES), pa.int32()), pa.array(minima.reshape(-1))
                     ),
@@ -102,17 +106,18 @@ def profiles(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 PAIR = "a long, b long"
-MEMBER = ["path", "rep", "s1", "s2"]
+MEMBER = ["path", "rep", *SKETCH]
 
 
-def compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of the nodes, whose members come one after another; a node may begin in one batch and end in the next."""
+def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Near pairs of different components within each node. The members of a node come one after another; a node may begin
+    in one batch and end in the next."""
     kept: list[np.ndarray] | None = None
     for batch in batches:
-        rows = [batch[c].to_numpy(zero_copy_only=False) for c in MEMBER]
+        rows = [batch[c].to_numpy(zero_copy_only=False) for c in (*MEMBER, "component")]
         if kept is not None:
             rows = [np.concatenate(x) for x in zip(kept, rows, strict=True)]
-        path, rep, s1, s2 = rows
+        path, rep, *sketch, component = rows
         if not len(path):
             continue
         seen = len(path) - batch.num_rows  # pairs among these have been found
@@ -124,89 +129,150 @@ def compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if not len(left):
                 break
             left = left[left + d >= seen]
+            left = left[component[left] != component[left + d]]
             right = left + d
-            shared = BITS - (
-                np.bitwise_count((s1[left] ^ s1[right]).view(np.uint64)).astype(np.int16)
-                + np.bitwise_count((s2[left] ^ s2[right]).view(np.uint64))
-            )
-            near = shared >= NEAR_BITS
+            apart = np.zeros(len(left), np.int16)
+            for bits in sketch:
+                apart += np.bitwise_count((bits[left] ^ bits[right]).view(np.uint64))
+            near = apart <= BITS - NEAR_BITS
             found[0].append(np.minimum(rep[left], rep[right])[near])
             found[1].append(np.maximum(rep[left], rep[right])[near])
         if found[0]:
             yield pa.RecordBatch.from_pydict({"a": np.concatenate(found[0]), "b": np.concatenate(found[1])})
 
 
-def _shared(a1, a2, b1, b2):
-    return F.lit(BITS) - F.bit_count(a1.bitwiseXOR(b1)) - F.bit_count(a2.bitwiseXOR(b2))
+def _near(left: str = "", right: str = "g."):
+    apart = [F.bit_count(F.col(left + c).bitwiseXOR(F.col(right + c))) for c in SKETCH]
+    return sum(apart[1:], apart[0]) <= BITS - NEAR_BITS
 
 
-def candidates(spark: SparkSession, reps: DataFrame, folder: str) -> DataFrame:
-    """Pairs (a < b) of representatives that some tree brings together and whose sketches are close."""
-    found: list[DataFrame] = []
+class Search:
+    """The state of one search: tables in `folder`, links found so far and the components they make."""
 
-    def kept(frame: DataFrame, name: str) -> DataFrame:
-        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
-        return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
+    def __init__(self, reps: DataFrame, documents: DataFrame, folder: str):
+        self.spark = reps.sparkSession
+        self.reps, self.documents, self.folder = reps, documents, folder
+        self.links: list[DataFrame] = []
+        self.tried: list[DataFrame] = []
+        self.labels = self.spark.createDataFrame([], "node long, component long")
 
-    def compare(rows: DataFrame) -> DataFrame:
-        return rows.select(*MEMBER).repartition("path").sortWithinPartitions("path", "rep").mapInArrow(compare_small, PAIR)
+    def kept(self, frame: DataFrame, name: str) -> DataFrame:
+        frame.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(frame.schema).parquet(f"{self.folder}/{name}")
 
-    roots = F.posexplode(F.slice("minima", 1, ROOTS)).alias("tree", "value")
-    level = reps.select("rep", "s1", "s2", roots).select(
-        F.xxhash64("tree", "value").alias("path"), "rep", "s1", "s2"
-    )
-    minima: DataFrame | None = None
-    for depth in range(DEPTH + 1):
-        large = kept(level.groupBy("path").count().where(F.col("count") > SMALL), f"large{depth}")
-        found.append(kept(compare(level.join(large, "path", "left_anti")).distinct(), f"pairs{depth}"))
-        if large.isEmpty():
-            break
-        rows = kept(level.join(large, "path"), f"members{depth}")
-        if depth == DEPTH:
-            found.append(kept(compare(_blocks(rows)).distinct(), "pairs_rest"))
-            break
-        # One member of each node, another one in each node that it is in, is compared with all of them.
-        guide = kept(
-            rows.groupBy("path").agg(F.min(F.struct(F.xxhash64("path", "rep").alias("h"), "rep", "s1", "s2")).alias("g")),
-            f"guides{depth}",
-        )
-        shared = _shared(F.col("s1"), F.col("s2"), F.col("g.s1"), F.col("g.s2"))
-        judged = kept(rows.join(guide, "path").withColumn("shared", shared), f"judged{depth}")
-        found.append(
-            judged.where((F.col("shared") >= NEAR_BITS) & (F.col("rep") != F.col("g.rep"))).select(
-                F.least("rep", "g.rep").alias("a"), F.greatest("rep", "g.rep").alias("b")
+    def labelled(self, frame: DataFrame, column: str, label: str) -> DataFrame:
+        known = self.labels.select(F.col("node").alias(column), F.col("component").alias("_c"))
+        return frame.join(known, column, "left").withColumn(label, F.coalesce("_c", column)).drop("_c")
+
+    def run(self) -> DataFrame:
+        """`node`, `component` of every representative that is linked with another."""
+        roots = F.posexplode(F.slice("minima", 1, ROOTS)).alias("tree", "value")
+        level = self.reps.select("rep", *SKETCH, roots).select(F.xxhash64("tree", "value").alias("path"), "rep", *SKETCH)
+        texts = minima = None
+        for depth in range(DEPTH + 1):
+            nodes = self.kept(
+                level.groupBy("path").agg(F.count("*").alias("count")).where(F.col("count") > SMALL), f"nodes{depth}"
             )
-        )
-        staying = judged.where((F.col("shared") < SAME_BITS) | (F.col("rep") == F.col("g.rep")))
-        if minima is None:
-            inside = rows.select("rep").distinct()
-            minima = kept(reps.join(inside, "rep", "left_semi").select("rep", "minima"), "minima")
-        choice = F.xxhash64(F.lit("child"), "path")
-        first = F.pmod(choice, F.lit(VALUES))
-        second = F.pmod(first + 1 + F.pmod(F.shiftright(choice, 20), F.lit(VALUES - 1)), F.lit(VALUES))
-        both = F.pmod(F.shiftright(choice, 40), F.lit(3)) == 0
-        children = F.explode(F.when(both, F.array(first, second)).otherwise(F.array(first)))
-        split = staying.select(*MEMBER, children.alias("child")).join(minima, "rep")
-        value = F.element_at("minima", (F.col("child") + 1).cast("int"))
-        level = kept(split.select(F.xxhash64("path", "child", value).alias("path"), "rep", "s1", "s2"), f"level{depth + 1}")
-    union = found[0]
-    for frame in found[1:]:
-        union = union.unionByName(frame)
-    return kept(union.distinct(), "candidates")
+            few = self.labelled(level.join(nodes, "path", "left_anti"), "rep", "component")
+            small = self.kept(_compared(few).distinct(), f"pairs{depth}")
+            members = self.kept(level.join(nodes, "path"), f"members{depth}")
+            guided = self.guided(members, depth)
+            if texts is None:
+                # All that later splits can bring together is in a large node now.
+                involved = members.select("rep").unionByName(_ends(small)).distinct()
+                own = self.documents.select(F.col("doc_id").alias("rep"), "text").where("rep is not null")
+                # Merged and never broadcast: the same plan at any size.
+                texts = self.kept(own.join(involved.hint("merge"), "rep", "left_semi"), "texts")
+                minima = self.kept(
+                    self.reps.select("rep", "minima").join(members.select("rep").distinct(), "rep", "left_semi"), "minima"
+                )
+            self.connect(small.unionByName(guided).distinct(), texts, depth)
+            # A node whose members are all connected has nothing left to find.
+            sizes = self.labelled(members, "rep", "component").groupBy("path", "component").agg(F.count("*").alias("c"))
+            top = F.max(F.struct("c", "component")).alias("top")
+            mixed_nodes = sizes.groupBy("path").agg(top, F.sum("c").alias("n")).where("top.c < n")
+            mixed_nodes = mixed_nodes.select("path", F.col("top.component").alias("main"), (F.col("n") - F.col("top.c")).alias("others"))
+            rest = self.kept(members.join(mixed_nodes, "path"), f"open{depth}")
+            if rest.isEmpty():
+                break
+            done = F.col("count") <= MIDDLE if depth < DEPTH else F.lit(True)
+            blocks = _blocks(self.labelled(rest.where(done), "rep", "component"))
+            self.connect(_compared(blocks).distinct(), texts, f"{depth}b")
+            level = self.kept(_children(rest.where(~done), minima), f"level{depth + 1}")
+            if level.isEmpty():
+                break
+        return self.labels
+
+    def guided(self, members: DataFrame, depth: int) -> DataFrame:
+        """One member of each node, another one in each node that it is in, with all that are near to it."""
+        order = F.struct(F.xxhash64("path", "rep").alias("h"), "rep", *SKETCH)
+        guides = self.kept(members.groupBy("path").agg(F.min(order).alias("g")), f"guides{depth}")
+        near = members.join(guides, "path").where(_near() & (F.col("rep") != F.col("g.rep")))
+        return near.select(F.least("rep", "g.rep").alias("a"), F.greatest("rep", "g.rep").alias("b"))
+
+    def connect(self, pairs: DataFrame, texts: DataFrame, depth: int | str) -> None:
+        """Confirms the pairs that are not connected yet, and brings the components up to date."""
+        if self.links:
+            pairs = self.labelled(self.labelled(pairs, "a", "_a"), "b", "_b").where("_a <> _b").select("a", "b")
+        for earlier in self.tried:
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        pairs = self.kept(pairs, f"new{depth}")
+        self.tried.append(pairs)
+        if pairs.isEmpty():
+            return
+        self.links.append(self.kept(confirm(pairs, texts), f"links{depth}"))
+        known = self.links[0]
+        for links in self.links[1:]:
+            known = known.unionByName(links)
+        self.labels = components(self.spark, known, f"{self.folder}/components{depth}")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+
+
+def _compared(rows: DataFrame) -> DataFrame:
+    """Pairs of small nodes' members that are near to one another."""
+    rows = rows.select(*MEMBER, "component").repartition("path").sortWithinPartitions("path", "rep")
+    return rows.mapInArrow(compare, PAIR)
+
+
+def _children(rows: DataFrame, minima: DataFrame) -> DataFrame:
+    """Members of split nodes with the paths of the children that they go on to."""
+    choice = F.xxhash64(F.lit("child"), "path")
+    first = F.pmod(choice, F.lit(VALUES))
+    second = F.pmod(first + 1 + F.pmod(F.shiftright(choice, 20), F.lit(VALUES - 1)), F.lit(VALUES))
+    both = F.pmod(F.shiftright(choice, 40), F.lit(3)) == 0
+    child = F.explode(F.when(both, F.array(first, second)).otherwise(F.array(first)))
+    split = rows.select(*MEMBER, child.alias("child")).join(minima, "rep")
+    value = F.element_at("minima", (F.col("child") + 1).cast("int"))
+    return split.select(F.xxhash64("path", "child", value).alias("path"), "rep", *SKETCH)
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Large nodes as pairs of blocks of about SMALL / 2 members, each a node of its own."""
-    n = F.greatest(F.ceil(F.col("count") * 2 / SMALL), F.lit(2))
-    own = F.pmod(F.xxhash64("rep"), n)
-    others = F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    paired = rows.withColumn("own", own).select(*MEMBER, "own", others.alias("other"))
-    return paired.select(
-        F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path"), "rep", "s1", "s2"
+    """Large nodes as smaller ones in which any two members of different components meet.
+
+    Members of the node's main component stay in one block each. The other members join each of these blocks, and meet one
+    another in pairs of blocks.
+    """
+    aside = F.col("component") != F.col("main")
+    main_blocks = F.ceil((F.col("count") - F.col("others")) / BLOCK)
+    side_blocks = F.ceil(F.col("others") * 2 / BLOCK)
+    spread = F.xxhash64(F.lit("block"), "rep")
+    own = F.pmod(spread, side_blocks)
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    with_main = F.transform(upto(main_blocks), lambda j: F.struct(F.lit("m").alias("k"), j.alias("i"), F.lit(0).cast("long").alias("j")))
+    with_side = F.transform(
+        upto(side_blocks), lambda j: F.struct(F.lit("s").alias("k"), F.least(own, j).alias("i"), F.greatest(own, j).alias("j"))
     )
+    one = F.array(F.struct(F.lit("m").alias("k"), F.pmod(spread, main_blocks).alias("i"), F.lit(0).cast("long").alias("j")))
+    whole = F.array(F.struct(F.lit("w").alias("k"), F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j")))
+    places = F.when(F.col("count") <= BLOCK, whole).when(aside, F.concat(with_main, with_side)).otherwise(one)
+    placed = rows.withColumn("block", F.explode(places))
+    return placed.withColumn("path", F.xxhash64("path", "block"))
 
 
-def confirm(pairs: DataFrame, documents: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The pairs whose full shingle sets have at least `percent` of their union in common."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,11 +297,8 @@ def confirm(pairs: DataFrame, documents: DataFrame, k: int = SHINGLE, percent: i
                 linked = 100 * common >= percent * (counts[0] + counts[1] - common)
                 yield batch.select(["a", "b"]).filter(pa.array(linked & (common > 0)))
 
-    texts = documents.select(F.col("doc_id").alias("id"), "text")
-    inside = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    few = texts.join(inside, "id", "left_semi")
-    left = pairs.join(few.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return left.join(few.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select(
+    left = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
+    return left.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b").select(
         "a", "b", "text_a", "text_b"
     ).mapInArrow(check, PAIR)
 
@@ -249,14 +312,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     name = ["n_shingles", "set_lo", "set_hi"]
     # Rows with equal sets have equal sketches and minima.
     classes = known.where("n_shingles > 0").groupBy(*name).agg(
-        F.min("doc_id").alias("rep"), *[F.any_value(c).alias(c) for c in ("s1", "s2", "minima")]
+        F.min("doc_id").alias("rep"), *[F.any_value(c).alias(c) for c in (*SKETCH, "minima")]
     )
     classes.write.parquet(f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
-    reps = classes.where("rep is not null").select("rep", "s1", "s2", "minima")
-    pairs = candidates(spark, reps, folder)
-    confirm(pairs, documents).write.parquet(f"{folder}/links")
-    found = components(spark, spark.read.schema(PAIR).parquet(f"{folder}/links"), f"{folder}/components")
+    reps = classes.where("rep is not null").select("rep", *SKETCH, "minima")
+    found = Search(reps, documents, folder).run()
 
     group = classes.select(*name, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     group = group.select(*name, F.coalesce("component", "rep").alias("component"))
