@@ -109,7 +109,7 @@ class PieceCache:
         self.rest, self.first = _Places(" ", self.pending, size), _Places("", self.pending, size)
         self.pieces = Codes(list(self.specials.values()))
 
-    def makeroom(self) -> None:
+    def make_room(self) -> None:
         if self.size[0] > self.limit:
             self.clear()
 
@@ -130,7 +130,7 @@ class PieceCache:
 
     def places(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Places of the pieces of all texts, and how many each text has."""
-        self.makeroom()
+        self.make_room()
         found: list[int] = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):

@@ -157,6 +157,8 @@ def fit(samples: list[tuple[str, list[str]]]) -> Model:
     """The weights that maximise the conditional likelihood of the labels of the training sequences."""
     languages = sorted({lang for lang, words in samples if words})
     k = len(languages)
+    if not k:
+        return Model([], np.zeros((FEATURES, 0)), np.zeros((0, 0)), np.zeros(0), {})
     lexicon: dict[str, int] = {}
     for i, lang in enumerate(languages):
         uses = Counter(w for own, words in samples if own == lang for w in words)
@@ -246,6 +248,8 @@ class Labeller:
 
     def label(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Distribution of every word, text by text, and the number of words of each text."""
+        if not self.model.languages:
+            return np.zeros((0, 0)), np.zeros(len(texts), np.int64)
         if len(self.place) > CACHE_WORDS:
             self.clear()
         place = self.place

@@ -76,7 +76,7 @@ def _matches(documents: DataFrame, kind: str, pattern: str) -> DataFrame:
     needed = NEEDED.get(kind, "")
     some = documents.where(F.col("text").contains(needed)) if needed else documents
     gaps = F.split("text", pattern, -1)
-    found = some.select(*DOC, gaps.alias("gaps"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("values"))
+    found = some.select("_row", *DOC, gaps.alias("gaps"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("values"))
     found = found.where(F.size("values") > 0)
     pieces = F.arrays_zip(
         F.transform("gaps", F.length).alias("gap"),
@@ -84,9 +84,9 @@ def _matches(documents: DataFrame, kind: str, pattern: str) -> DataFrame:
         F.transform("gaps", lambda g: F.right(g, F.lit(CONTEXT))).alias("before"),
         F.transform(F.slice("gaps", 2, F.size("gaps")), lambda g: F.left(g, F.lit(CONTEXT))).alias("after"),
     )
-    rows = found.select(*DOC, F.posexplode(pieces).alias("i", "p")).where("p.values is not null")
+    rows = found.select("_row", *DOC, F.posexplode(pieces).alias("i", "p")).where("p.values is not null")
     length = F.length("p.values")
-    end = F.sum(F.col("p.gap") + length).over(Window.partitionBy(*DOC).orderBy("i"))
+    end = F.sum(F.col("p.gap") + length).over(Window.partitionBy("_row").orderBy("i"))
     return rows.select(
         *DOC,
         F.lit(kind).alias("kind"),
@@ -180,7 +180,7 @@ def personal_data(documents: DataFrame) -> DataFrame:
     folder = new_folder(spark, "pii")
     documents = documents.select("doc_id", "text", F.xxhash64("text").alias("_text"))
     # Nothing is found without a digit or an at sign; equal rows need one look.
-    some = documents.where(F.col("text").rlike("[0-9@]"))
+    some = documents.where(F.col("text").rlike("[0-9@]")).withColumn("_row", F.monotonically_increasing_id())
     rows = _matches(some, "token", TOKEN)
     for kind in KINDS:
         rows = rows.unionByName(_matches(some, kind, PATTERNS[kind]).where(_valid(F.col("kind"), F.col("value"))))
