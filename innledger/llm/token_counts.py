@@ -36,11 +36,15 @@ def frequent_lengths(documents: DataFrame, path: str) -> dict[str, int]:
     every = max(1, total // TABLE_DOCS)
     some = documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
 
+    specials = list(piece_cache(path).specials)
+
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses: Counter[str] = Counter()
         for batch in slices(batches):
             for text in batch["text"].to_pylist():
-                uses.update(cut(text)[1:] if text else ())
+                # A special string is cut out before pieces are; such texts tell nothing about pieces.
+                if text and not any(s in text for s in specials):
+                    uses.update(cut(text)[1:])
         top = uses.most_common(TASK_PIECES)
         if top:
             pieces, n = map(list, zip(*top, strict=True))
