@@ -33,8 +33,8 @@ from innledger.llm.bpe import Codes, _Places, room, sums
 from innledger.llm.words import mixed, powers, slices
 
 POWER, SEED = 1.0, 0
-#: Nodes of filtered lattices that a worker keeps.
-CACHE_NODES = 4_000_000
+#: Nodes of filtered lattices that a worker keeps, also between tasks: about 100 bytes each with their arcs and text.
+CACHE_NODES = 1_000_000
 #: Stretches filtered at a time; a factor for each character that keeps weights of long stretches near one; the most
 #: characters a piece has.
 STRETCHES, SCALE, MOST = 50_000, 10.0, 32
