@@ -10,8 +10,9 @@ connected by confirmed links is done: what matters is who is connected, not each
 mostly ends there, without all its pairs. Nodes of middling size, and what is still large after DEPTH splits, are compared
 block by block, and only members of different components.
 
-Sketches only choose pairs: a pair is linked if its full shingle sets say so. A pair at the threshold passes the sketch
-with probability above 0.99 and meets in at least one of the trees' first children with probability 1 - 4**-24.
+Sizes and sketches only choose pairs: a pair is linked if its full shingle sets say so. The size test is exact. The sketch
+is the same in all trees, so a pair that it rejects is lost; its bound lies five standard deviations below what a pair at
+the threshold shares. Such a pair meets in at least one of the trees' first children with probability 1 - 4**-24.
 
 Null texts and texts without words have an empty set and are linked with nothing. A text with fewer words than a shingle is
 one shingle. Repeated rows give repeated rows with the same result; rows that share an id share its group. A null id counts
@@ -39,9 +40,9 @@ ROOTS, SMALL, DEPTH = 24, 128, 14
 #: Nodes up to this size are compared block by block instead of being split, and so is what is left after DEPTH splits;
 #: members of a block.
 MIDDLE, BLOCK = 4096, 1024
-#: Minwise values kept for choosing children; sketch bits; bits that a candidate pair shares at least: 2.6 standard
-#: deviations below what a pair at the threshold shares.
-VALUES, BITS, NEAR_BITS = 48, 256, 210
+#: Minwise values kept for choosing children; sketch bits; bits that a candidate pair shares at least: five standard
+#: deviations (of 5.3 bits) below the 224 that a pair at the threshold shares on average.
+VALUES, BITS, NEAR_BITS = 48, 256, 197
 
 PROFILE = "doc_id long, n_shingles long, set_lo long, set_hi long, s0 long, s1 long, s2 long, s3 long, minima array<int>"
 SKETCH = ["s0", "s1", "s2", "s3"]
@@ -106,7 +107,7 @@ def profiles(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 PAIR = "a long, b long"
-MEMBER = ["path", "rep", *SKETCH]
+MEMBER = ["path", "rep", "size", *SKETCH]
 
 
 def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +118,7 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [batch[c].to_numpy(zero_copy_only=False) for c in (*MEMBER, "component")]
         if kept is not None:
             rows = [np.concatenate(x) for x in zip(kept, rows, strict=True)]
-        path, rep, *sketch, component = rows
+        path, rep, size, *sketch, component = rows
         if not len(path):
             continue
         seen = len(path) - batch.num_rows  # pairs among these have been found
@@ -130,6 +131,8 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 break
             left = left[left + d >= seen]
             left = left[component[left] != component[left + d]]
+            less, more = np.minimum(size[left], size[left + d]), np.maximum(size[left], size[left + d])
+            left = left[100 * less >= PERCENT * more]
             right = left + d
             apart = np.zeros(len(left), np.int16)
             for bits in sketch:
@@ -143,7 +146,8 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _near(left: str = "", right: str = "g."):
     apart = [F.bit_count(F.col(left + c).bitwiseXOR(F.col(right + c))) for c in SKETCH]
-    return sum(apart[1:], apart[0]) <= BITS - NEAR_BITS
+    less, more = F.least(left + "size", right + "size"), F.greatest(left + "size", right + "size")
+    return (less * 100 >= more * PERCENT) & (sum(apart[1:], apart[0]) <= BITS - NEAR_BITS)
 
 
 class Search:
@@ -167,7 +171,7 @@ class Search:
     def run(self) -> DataFrame:
         """`node`, `component` of every representative that is linked with another."""
         roots = F.posexplode(F.slice("minima", 1, ROOTS)).alias("tree", "value")
-        level = self.reps.select("rep", *SKETCH, roots).select(F.xxhash64("tree", "value").alias("path"), "rep", *SKETCH)
+        level = self.reps.select("rep", "size", *SKETCH, roots).select(F.xxhash64("tree", "value").alias("path"), *MEMBER[1:])
         texts = minima = None
         for depth in range(DEPTH + 1):
             nodes = self.kept(
@@ -205,7 +209,7 @@ class Search:
 
     def guided(self, members: DataFrame, depth: int) -> DataFrame:
         """One member of each node, another one in each node that it is in, with all that are near to it."""
-        order = F.struct(F.xxhash64("path", "rep").alias("h"), "rep", *SKETCH)
+        order = F.struct(F.xxhash64("path", "rep").alias("h"), *MEMBER[1:])
         guides = self.kept(members.groupBy("path").agg(F.min(order).alias("g")), f"guides{depth}")
         near = members.join(guides, "path").where(_near() & (F.col("rep") != F.col("g.rep")))
         return near.select(F.least("rep", "g.rep").alias("a"), F.greatest("rep", "g.rep").alias("b"))
@@ -246,7 +250,7 @@ def _children(rows: DataFrame, minima: DataFrame) -> DataFrame:
     child = F.explode(F.when(both, F.array(first, second)).otherwise(F.array(first)))
     split = rows.select(*MEMBER, child.alias("child")).join(minima, "rep")
     value = F.element_at("minima", (F.col("child") + 1).cast("int"))
-    return split.select(F.xxhash64("path", "child", value).alias("path"), "rep", *SKETCH)
+    return split.select(F.xxhash64("path", "child", value).alias("path"), *MEMBER[1:])
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
@@ -316,7 +320,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     classes.write.parquet(f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
-    reps = classes.where("rep is not null").select("rep", *SKETCH, "minima")
+    reps = classes.where("rep is not null").select("rep", F.col("n_shingles").alias("size"), *SKETCH, "minima")
     found = Search(reps, documents, folder).run()
 
     group = classes.select(*name, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")

@@ -241,6 +241,30 @@ def test_near_groups(docs, spark):
     assert near_dup.near_duplicates(nobody).count() == 2 and near_dup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_no_pair_at_the_threshold_is_lost(spark):
+    rnd = random.Random(12)
+    rows = []
+    for i in range(0, 2400, 2):  # 60 of 80 shingles in common
+        words = [f"w{rnd.randint(0, 10**9)}" for _ in range(84)]
+        rows += [(i, " ".join(words[:74])), (i + 1, " ".join(words[:64] + words[74:]))]
+    got = by_id(near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), "n_shingles", "component_id")
+    assert got == {i: (70, i // 2 * 2) for i, _ in rows}
+
+
+def test_a_large_near_group_is_found_in_full(spark):
+    rnd = random.Random(9)
+    base = [f"t{rnd.randint(0, 5000)}" for _ in range(300)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rnd.randint(0, 14)):
+            words[rnd.randrange(300)] = f"n{rnd.randint(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(f"u{rnd.randint(0, 10**6)}" for _ in range(40))) for i in range(30)]
+    got = by_id(near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), "n_shingles", "component_id")
+    assert got == brute.near_groups(rows)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
