@@ -1,6 +1,7 @@
 """Language identification by a linear-chain conditional random field over the words of a text.
 
-Each word is labelled with a language. Emissions come from its affixes, its letter n-grams and lexicons of frequent words,
+Each word is labelled with a language. A run of more than WORD_LETTERS letters, as in scripts without spaces, is cut into
+consecutive words of at most so many, in training and in prediction, so that every letter is read. Emissions come from its affixes, its letter n-grams and lexicons of frequent words,
 hashed to FEATURES weights a language; transitions are learnt with them, from training sequences in which stretches of
 different languages follow one another, so that labels change within code-switched text and not with every odd word.
 Forward-backward gives each word's distribution over languages; a document's language is the one with the greatest mean, and
@@ -40,11 +41,12 @@ LEXICON, SEQUENCE, STRETCH = 2000, 64, 24
 ROUNDS, RATE, DECAY = 60, 0.3, 1e-4
 #: Words a worker keeps the emissions of; words of a block of the chain.
 CACHE_WORDS, BLOCK = 400_000, 128
-WORD = re.compile(r"[^\W\d_]+")
+WORD_LETTERS = 40
+WORD = re.compile(rf"[^\W\d_]{{1,{WORD_LETTERS}}}")
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased runs of letters; none if the text has no letter."""
+    """Lower-cased runs of letters, long ones in pieces; none if the text has no letter."""
     words = WORD.findall(text.lower())
     if words and not words[0][0].isalpha() and not any(map(str.isalpha, "".join(words))):
         return []
@@ -53,7 +55,7 @@ def words_of(text: str) -> list[str]:
 
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Numbers of the weights of a word."""
-    w = f"<{word[:40]}>"
+    w = f"<{word}>"
     names = [w[:2], w[:3], w[:4], w[-2:] + "$", w[-3:] + "$", w[-4:] + "$"]
     names += [w[i : i + 2] for i in range(1, len(w) - 2)]
     names += [w[i : i + 3] for i in range(len(w) - 2)]

@@ -132,6 +132,21 @@ def test_language(spark):
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
 
 
+def test_every_letter_of_a_long_run_is_read(spark):
+    rnd = random.Random(6)
+    en, de = ["the", "house", "with", "thing", "this", "which"], ["das", "haus", "mit", "nicht", "dieses", "schön"]
+    make = lambda ws, n: "".join(rnd.choice(ws) for _ in range(n))
+    rows = [(i, make(en if i % 2 else de, 300), "en" if i % 2 else "de") for i in range(300)]
+    head = make(en, 20)[:40]
+    odd = [(1000, head + make(en, 300), None), (1001, head + make(de, 300), None), (1002, make(de, 400) + make(en, 400), None)]
+    documents = spark.createDataFrame([*rows, *odd], "doc_id long, text string, lang string")
+    got = by_id(langid.predict(documents, langid.train(documents)), "lang_pred", "spans")
+    assert [got[i][0] for i in (1000, 1001)] == ["en", "de"]
+    assert [s.lang for s in got[1002][1]] == ["de", "en"]
+    assert sum(s.words for s in got[1002][1]) == -(-len(odd[2][1]) // 40)
+    assert langid.words_of("x" * 95 + " y") == ["x" * 40, "x" * 40, "x" * 15, "y"]
+
+
 def test_chain_equals_plain_recursion():
     rng = np.random.default_rng(1)
     e, step, first = rng.random((700, 3)) + 0.01, rng.random((3, 3)), rng.random(3)
