@@ -8,8 +8,11 @@ rows of all groups at once, so a group may be of any size. Quantiles are taken o
 which keeps them exact for any order of rows. Of the two results the one with the smaller determinant counts.
 
 A source with too few rows in a language joins the language's other small sources, a language with too few rows there
-the small rest of all languages; a rest that is too small keeps all its rows. A null language or source is a value of its
-own. Null and empty texts have no words and fail the base rules; such rows don't enter the estimates. Repeated rows count
+the small rest of all languages. A rest that is too small is judged by the estimate of its whole language, large sources
+included, and where that has fewer than LEAST rows by the estimate of all rows. The length of a text and of its words
+depends on the language, so the estimate of all rows judges by the other three statistics. Only a table with fewer than LEAST
+rows that pass the base rules has no estimate; there the base rules alone decide. A null language or source is a value of
+its own. Null and empty texts have no words and fail the base rules; such rows don't enter the estimates. Repeated rows count
 as often as they come. An empty table gives no rows. Further columns are not read.
 """
 
@@ -32,12 +35,19 @@ MAX_REPEAT_PERCENT = 50
 #: Rows of a group that an estimate is made from, and the fewest it needs.
 SHARE, FEWEST = 0.75, 200
 STEPS = 3
+#: Levels of groups: source, small sources of a language, small rest, whole language, all rows.
+SOURCE, SOURCES, REST, LANGUAGE, ALL = range(5)
 #: Chi-squared with five degrees of freedom: the median, and the point that one in a million exceeds.
 CHI_MEDIAN, CHI_CUT = 4.3515, 35.888
+#: The same with three degrees of freedom, and the statistics that depend on the language.
+FREE_MEDIAN, FREE_CUT = 2.366, 30.665
+BOUND = ("x0", "x1")
 #: Least standard deviation of each transformed statistic; without it a statistic that is zero in most texts would make
 #: any other value an outlier.
 FLOORS = (0.25, 0.05, 0.10, 0.10, 0.10)
 DIMS = len(FLOORS)
+#: Fewest rows that judge a rest too small for an estimate of its own.
+LEAST = DIMS * DIMS
 X = [f"x{i}" for i in range(DIMS)]
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -108,23 +118,55 @@ def text_statistics(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "lang", "source", "text").mapInArrow(rows, STATS)
 
 
-def with_groups(rows: DataFrame) -> DataFrame:
-    """Each row with the group (`level`, `g_lang`, `g_source`) whose estimate judges it."""
+def with_groups(rows: DataFrame, folder: str) -> DataFrame:
+    """Each row with the group (`level`, `g_lang`, `g_source`) whose estimate judges it, and whether it enters the estimates
+    of its language and of all rows (`in_lang`, `in_all`)."""
     fits = F.count_if(~F.col("base_failed")).alias("n")
     sized = rows.groupBy(F.col("lang").alias("k_lang"), F.col("source").alias("k_source")).agg(fits)
-    small = sized.where(F.col("n") < FEWEST).groupBy(F.col("k_lang").alias("r_lang")).agg(F.sum("n").alias("n_rest"))
-    level = F.when(F.col("n") >= FEWEST, 0).when(F.col("n_rest") >= FEWEST, 1).otherwise(2)
-    groups = sized.join(small, F.col("k_lang").eqNullSafe(F.col("r_lang")), "left").select(
+    few = F.col("n") < FEWEST
+    by_lang = sized.groupBy(F.col("k_lang").alias("r_lang")).agg(
+        F.coalesce(F.sum(F.when(few, F.col("n"))), F.lit(0)).alias("n_rest"), F.sum("n").alias("n_lang"),
+        F.count_if(few).alias("few_sources"),
+    )
+    sized = sized.join(by_lang, F.col("k_lang").eqNullSafe(F.col("r_lang"))).drop("r_lang")
+    sized = sized.withColumn("rest", few & (F.col("n_rest") < FEWEST))
+    sized.write.parquet(f"{folder}/groups")
+    sized = rows.sparkSession.read.schema(sized.schema).parquet(f"{folder}/groups")
+    own = F.col("n_lang") >= LEAST
+    rest = sized.where("rest").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(~own).alias("strange")).first()
+    together = rest["n"] >= FEWEST
+    fallback = F.lit(REST) if together else F.when(own, LANGUAGE).otherwise(ALL)
+    level = F.when(~few, SOURCE).when(F.col("n_rest") >= FEWEST, SOURCES).otherwise(fallback)
+    named = level.isin(SOURCE, SOURCES, LANGUAGE)
+    groups = sized.select(
         "k_lang",
         "k_source",
         level.alias("level"),
-        F.when(level < 2, F.coalesce("k_lang", F.lit("\0"))).otherwise(F.lit("")).alias("g_lang"),
-        F.when(level < 1, F.coalesce("k_source", F.lit("\0"))).otherwise(F.lit("")).alias("g_source"),
+        F.when(named, F.coalesce("k_lang", F.lit("\0"))).otherwise(F.lit("")).alias("g_lang"),
+        F.when(level == SOURCE, F.coalesce("k_source", F.lit("\0"))).otherwise(F.lit("")).alias("g_source"),
+        # Some sources of the language are a rest without an estimate of its own.
+        (F.lit(not together) & own & (F.col("n_rest") < FEWEST) & (F.col("few_sources") > 0)).alias("in_lang"),
+        F.lit(not together and rest["strange"] > 0).alias("in_all"),
     )
     same = F.col("lang").eqNullSafe(F.col("k_lang")) & F.col("source").eqNullSafe(F.col("k_source"))
     return rows.join(groups, same).drop("k_lang", "k_source")
 
 
+def comparable(rows: DataFrame) -> DataFrame:
+    """The statistics that an estimate of the row's level compares; the others are zero."""
+    return rows.withColumns({x: F.when(F.col("level") == ALL, F.lit(0.0)).otherwise(F.col(x)) for x in BOUND})
+
+
+def contributions(rows: DataFrame) -> DataFrame:
+    """KEYS and statistics of the rows of every estimate; a row may enter several."""
+    own = F.when(F.col("level") < LANGUAGE, F.struct("level", "g_lang", "g_source"))
+    key = lambda level, lang: F.struct(F.lit(level).alias("level"), lang.alias("g_lang"), F.lit("").alias("g_source"))
+    language = F.when(F.col("in_lang"), key(LANGUAGE, F.coalesce("lang", F.lit("\0"))))
+    everything = F.when(F.col("in_all"), key(ALL, F.lit("")))
+    keys = F.explode(F.array_compact(F.array(own, language, everything))).alias("key")
+    return comparable(rows.select(keys, *X).select("key.*", *X))
+
+
 KEYS = ["level", "g_lang", "g_source"]
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
 #: Starts, and bins a unit of a statistic and of the logarithm of a distance.
@@ -190,7 +232,7 @@ def mcd(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
             F.count("*").alias("rows"),
             F.array(*[F.percentile(F.floor(F.col(x) * X_BINS), 0.5) / X_BINS for x in X]).alias("c"),
         )
-        .where(F.col("rows") >= FEWEST)
+        .where(F.col("rows") >= F.when(F.col("level") < LANGUAGE, FEWEST).otherwise(LEAST))
         .drop("rows"),
         "centres",
     )
@@ -235,12 +277,13 @@ def mcd(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     best = estimate.groupBy(*KEYS).agg(F.min_by(F.struct("m", "w"), F.struct("logdet", "start")).alias("e"))
     best = best.select(*KEYS, "e.m", "e.w")
     medians = rows.join(best, KEYS).groupBy(*KEYS, "m", "w").agg(F.percentile(_bin(distance()), 0.5).alias("bin"))
-    scale = F.lit(CHI_MEDIAN) / F.greatest(F.expm1((F.col("bin") + 0.5) / D_BINS), F.lit(CHI_MEDIAN))
+    median = F.when(F.col("level") == ALL, FREE_MEDIAN).otherwise(CHI_MEDIAN)
+    scale = median / F.greatest(F.expm1((F.col("bin") + 0.5) / D_BINS), median)
     # A group tighter than the floors is not stretched: its distances are used as they are.
     return kept(medians.select(*KEYS, "m", F.transform("w", lambda v: v * scale).alias("w")), "estimate")
 
 
-def quality_rules(documents: DataFrame, cut: float = CHI_CUT) -> DataFrame:
+def quality_rules(documents: DataFrame, cut: float = CHI_CUT, free_cut: float = FREE_CUT) -> DataFrame:
     """doc_id, the counts, base_failed, kept and the squared distance (null without an estimate)."""
     spark = documents.sparkSession
     folder = new_folder(spark, "quality")
@@ -249,11 +292,12 @@ def quality_rules(documents: DataFrame, cut: float = CHI_CUT) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     )
-    grouped = with_groups(stats.withColumn("base_failed", failed))
-    estimate = mcd(grouped.where("not base_failed").select(*KEYS, *X), spark, folder)
+    grouped = with_groups(stats.withColumn("base_failed", failed), folder)
+    estimate = mcd(contributions(grouped.where("not base_failed")), spark, folder)
     d = F.when(F.col("m").isNotNull(), distance())
-    judged = grouped.join(estimate, KEYS, "left").withColumn("distance", d)
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True))
+    judged = comparable(grouped).join(estimate, KEYS, "left").withColumn("distance", d)
+    bar = F.when(F.col("level") == ALL, free_cut).otherwise(cut)
+    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= bar, F.lit(True))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         kept.alias("kept"), "distance",

@@ -197,6 +197,25 @@ def test_outliers_of_a_large_group_go(spark):
     assert sum(got[i][0] for i in range(600)) >= 597 and not any(got[1000 + i][0] for i in range(150)) and got[2000][0]
 
 
+def test_rare_groups_are_judged(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9)))
+    prose = lambda: " ".join(word() for _ in range(rnd.randint(60, 200)))
+    symbols = lambda: " ".join(word() + "#$%" * 2 for _ in range(100))
+    lines = lambda: prose() + "\n" + "\n".join(["tick tock"] * 30)
+    long = lambda: " ".join(word() * 5 for _ in range(100))
+    big = [(i, prose(), "en" if i % 2 else "de", "big") for i in range(600)]
+    clean = [(1000, prose(), "xx", "big"), (1001, prose(), None, None), (1002, prose(), "en", "small"), (1003, long(), "xx", "other")]
+    junk = [(2000, symbols(), "xx", "big"), (2001, lines(), None, None), (2002, symbols(), "en", "small"), (2003, long(), "en", "small")]
+    schema = "doc_id long, text string, lang string, source string"
+    got = by_id(quality.quality_rules(spark.createDataFrame([*big, *clean, *junk], schema)), "kept")
+    assert sum(got[i][0] for i in range(600)) >= 597
+    assert all(got[i][0] for i, *_ in clean) and not any(got[i][0] for i, *_ in junk)
+    few = [(i, prose(), "en", f"s{i % 9}") for i in range(60)]
+    got = by_id(quality.quality_rules(spark.createDataFrame([*few, (100, symbols(), "en", "s1"), (101, lines(), None, "s2")], schema)), "kept")
+    assert sum(got[i][0] for i in range(60)) >= 59 and not got[100][0] and not got[101][0]
+
+
 def test_line_runs(docs):
     got = by_id(line_dedup.dedup_lines(docs.drop("removed")), "text", "removed")
     gone = brute.removed(texts())
