@@ -1,6 +1,6 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are lower-cased runs of letters and digits. Every run of SEED words of a benchmark item is a seed; all texts are
+Words are lower-cased runs of letters and digits; in scripts without spaces each character is one. Every run of SEED words of a benchmark item is a seed; all texts are
 passed once with a running Karp-Rabin hash, and what a fixed-size bit table of all seeds lets through is joined with the
 seeds on the hash. The matches of a document and an item, runs of seeds on one diagonal, are then tiled: the longest match
 whose words are all free is marked again and again until none of SEED words is left. So a passage is found whatever the
@@ -9,9 +9,10 @@ order of its parts, and no word counts twice. An item leaks into a document if t
 The bit table has the same size for any benchmark; a larger benchmark only lets more through to the join. Hashes are 64
 bits of whole word runs.
 
-Null and empty texts match nothing. Items with fewer than SEED words are never reported: so short a text proves nothing.
-Repeated documents give one row per id and item (rows that share an id count as one document), repeated items one row per
-item id; null ids are ids of their own. Empty tables give no rows. Further columns are not read.
+Null and empty texts match nothing. An item with fewer than SEED words is one seed as a whole; its first place in a text
+counts. Repeated documents give one row per id and item (rows that share an id count as one document). Every text of an item
+id is searched, and the one that is covered best, the longest among equals, gives the row of the id; a null id is one such
+id. Empty tables give no rows. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -25,21 +26,30 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm.words import Packed, slices
+from innledger.llm.words import Packed, mixed, slices
 
 SEED = 5
 SHARE = 0.5
 TABLE_BITS = 24
 HITS = "doc_id long, item_id long, row long, pos int, hash long"
+#: Characters of scripts without spaces between words; in UTF-8 all of them begin with a byte from 0xE0 on.
+UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
 
 
-def seeds(texts: pa.Array, k: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, text and first word of every run of k words, and the number of words of each text."""
+def packed(texts: pa.Array) -> Packed:
     texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    p = Packed(pc.replace_substring_regex(texts, r"[^\pL\pN]+", " "))
-    hashes, first = p.windows(p.words(), k)
+    texts = pc.replace_substring_regex(texts, r"[^\pL\pN]+", " ")
+    data = texts.buffers()[2]
+    if data is not None and np.frombuffer(data, np.uint8).max(initial=0) >= 0xE0:
+        texts = pc.replace_substring_regex(texts, UNSPACED, r" \1 ")
+    return Packed(texts)
+
+
+def seeds(p: Packed, words: np.ndarray, k: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, text and first word of every run of k words."""
+    hashes, first = p.windows(words, k)
     owner = p.text_of[first]
-    return hashes.view(np.int64), owner, first - p.first[:-1][owner], p.counts
+    return (hashes + np.uint64(k)).view(np.int64), owner, first - p.first[:-1][owner]
 
 
 def _bits(hashes: np.ndarray) -> np.ndarray:
@@ -47,25 +57,31 @@ def _bits(hashes: np.ndarray) -> np.ndarray:
 
 
 def benchmark_seeds(benchmark: DataFrame, k: int = SEED) -> DataFrame:
-    """item_id, n_words, at, hash."""
+    """item_id, item_key (of its text), n_words, at, hash."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hashes, owner, pos, counts = seeds(batch["text"], k)
+            p = packed(batch["text"])
+            words, counts = p.words(), p.counts
+            found = [seeds(p, words, k)]
+            for n in range(1, k):
+                whole = seeds(p, words, n)
+                short = counts[whole[1]] == n
+                found.append(tuple(x[short] for x in whole))
+            hashes, owner, pos = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_pydict(
                 {
                     "item_id": batch["item_id"].take(pa.array(owner)),
+                    "item_key": batch["item_key"].take(pa.array(owner)),
                     "n_words": pa.array(counts[owner], pa.int32()),
                     "at": pa.array(pos, pa.int32()),
                     "hash": hashes,
                 }
             )
 
-    schema = "item_id long, n_words int, at int, hash long"
-    # Items that share an id: the longest stands for it, and the first by text among equals.
-    texts = F.struct(F.length("text").alias("n"), "text")
-    one = benchmark.where("text is not null").groupBy("item_id").agg(F.max(texts).alias("t"))
-    return one.select("item_id", "t.text").mapInArrow(rows, schema)
+    schema = "item_id long, item_key long, n_words int, at int, hash long"
+    texts = benchmark.where("text is not null").select("item_id", "text").distinct()
+    return texts.select("item_id", F.xxhash64("text").alias("item_key"), "text").mapInArrow(rows, schema)
 
 
 def seed_table(benchmark_rows: DataFrame) -> bytes:
@@ -126,7 +142,7 @@ def tile(n_words: int, pos: np.ndarray, at: np.ndarray, k: int = SEED) -> list[t
     return tiles
 
 
-TILED = "doc_id long, item_id long, n_words int, covered int, tiles array<struct<doc_word:int,item_word:int,words:int>>"
+TILED = "doc_id long, item_id long, item_key long, n_words int, covered int, tiles array<struct<doc_word:int,item_word:int,words:int>>"
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE, k: int = SEED) -> DataFrame:
@@ -134,38 +150,52 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE, k: i
     spark: SparkSession = documents.sparkSession
     items = benchmark_seeds(benchmark, k)
     table = spark.sparkContext.broadcast(seed_table(items))
+    short = sorted(row.n_words for row in items.where(F.col("n_words") < k).select("n_words").distinct().collect())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(np.frombuffer(table.value, np.uint8)).astype(bool)
         for batch in slices(batches):
-            hashes, owner, pos, _ = seeds(batch["text"], k)
-            hit = np.flatnonzero(known[_bits(hashes)])
+            p = packed(batch["text"])
+            words = p.words()
+            found = []
+            for n in (k, *short):
+                hashes, owner, pos = seeds(p, words, n)
+                hit = np.flatnonzero(known[_bits(hashes)])
+                if n < k:  # one place is all of such an item
+                    key = mixed(owner[hit].astype(np.uint64) + np.uint64(1)) ^ hashes[hit].view(np.uint64)
+                    _, at = np.unique(key, return_index=True)
+                    hit = hit[at]
+                found.append((hashes[hit], owner[hit], pos[hit]))
+            hashes, owner, pos = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": batch["doc_id"].take(pa.array(owner[hit])),
-                    "pos": pa.array(pos[hit], pa.int32()),
-                    "hash": hashes[hit],
+                    "doc_id": batch["doc_id"].take(pa.array(owner)),
+                    "pos": pa.array(pos, pa.int32()),
+                    "hash": hashes,
                 }
             )
 
     hits = documents.select("doc_id", "text").mapInArrow(scan, "doc_id long, pos int, hash long").distinct()
-    matches = hits.join(items, "hash").select("doc_id", "item_id", "n_words", "pos", "at")
+    matches = hits.join(items, "hash").select("doc_id", "item_id", "item_key", "n_words", "pos", "at")
     # A seed covers k words at most, so a pair with too few different ones cannot reach the share.
     enough = F.count_distinct("at") * k >= F.col("n_words") * share
-    pairs = matches.groupBy("doc_id", "item_id", "n_words").agg(
+    pairs = matches.groupBy("doc_id", "item_id", "item_key", "n_words").agg(
         enough.alias("enough"), F.collect_list(F.struct("pos", "at")).alias("seeds")
     )
 
     def tiled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [
-                tile(row.n_words, *(np.array([s[c] for s in row.seeds], np.int64) for c in ("pos", "at")), k)
+                tile(row.n_words, *(np.array([s[c] for s in row.seeds], np.int64) for c in ("pos", "at")), min(k, row.n_words))
                 for row in frame.itertuples(index=False)
             ]
             frame["covered"] = np.array([sum(n for _, _, n in tiles) for tiles in found], np.int32)
             frame["tiles"] = [[{"doc_word": p, "item_word": a, "words": n} for p, a, n in tiles] for tiles in found]
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             frame["item_id"] = frame["item_id"].astype("Int64")
-            yield frame[["doc_id", "item_id", "n_words", "covered", "tiles"]]
+            yield frame[["doc_id", "item_id", "item_key", "n_words", "covered", "tiles"]]
 
-    return pairs.where("enough").drop("enough").mapInPandas(tiled, TILED).where(F.col("covered") >= F.col("n_words") * share)
+    found = pairs.where("enough").drop("enough").mapInPandas(tiled, TILED).where(F.col("covered") >= F.col("n_words") * share)
+    best = F.struct(F.col("covered") / F.col("n_words"), "n_words", "item_key")
+    folded = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_words", "covered", "tiles"), best).alias("t"))
+    return folded.select("doc_id", "item_id", "t.*")

@@ -115,6 +115,25 @@ def test_passages(spark):
     assert decontaminate.tile(8, np.array([0, 1, 2, 50]), np.array([0, 1, 2, 3])) == [(0, 0, 7)]
 
 
+def test_every_benchmark_text_is_searched(spark):
+    rnd = random.Random(15)
+    text = lambda n: " ".join(f"w{rnd.randint(0, 99999)}" for _ in range(n))
+    a, b, c, d, filler = text(20), text(30), text(20), text(25), text(40)
+    chinese = "".join(chr(0x4E00 + rnd.randint(0, 5000)) for _ in range(30))
+    items = [(1, a), (1, b), (1, b), (None, c), (None, d), (2, "Three short words"), (3, chinese), (4, chinese[:3]), (5, "")]
+    rows = [(10, f"{filler} {a}"), (11, f"{b} {filler}"), (12, c), (13, d), (14, f"{filler} three SHORT words, three short words"),
+            (15, f"{filler}{chinese[2:]}"), (16, filler), (17, "three other short words"), (18, f"{a} {b}"), (19, chinese[:3])]
+    found = decontaminate.leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    got = {(r.doc_id, r.item_id): (r.n_words, r.covered) for r in found}
+    assert len(found) == len(got)
+    assert got == {
+        (10, 1): (20, 20), (11, 1): (30, 30), (12, None): (20, 20), (13, None): (25, 25), (14, 2): (3, 3),
+        (15, 3): (30, 28), (18, 1): (30, 30), (19, 4): (3, 3),
+    }
+
+
 def test_language(spark):
     rnd = random.Random(2)
     en, de = ["the", "house", "with", "thing", "this", "which"], ["das", "haus", "mit", "nicht", "dieses", "schön"]
