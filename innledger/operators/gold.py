@@ -15,6 +15,7 @@ from innledger.operators.dq import union_all
 from innledger.operators.silver import net_amount
 from innledger.values import HOTEL_LAYOUT, HOTELS, MISMATCH_TOLERANCE
 
+# Column names of the facts.
 FACT_RESERVATION = (
     "reservation_sk",
     "reservation_id",

@@ -48,10 +48,14 @@ def _occupancy(days: DataFrame, rooms: DataFrame) -> DataFrame:
     )
 
 
+# Fixed value: label of the read-out.
+FIRST_DAYS_LABEL = "KPI 1 — Occupancy Rate"
+
+
 def kpi1_first_days(reservations: DataFrame, rooms: DataFrame, days: int = 5) -> DataFrame:
     """The labelled read-out of the first days."""
     occupancy = kpi1_occupancy(reservations, rooms)
-    return occupancy.orderBy("date").limit(days).select(F.lit("KPI 1 — Occupancy Rate").alias("kpi"), "*")
+    return occupancy.orderBy("date").limit(days).select(F.lit(FIRST_DAYS_LABEL).alias("kpi"), "*")
 
 
 def kpi2_conversion(reservations: DataFrame) -> DataFrame:

@@ -139,7 +139,7 @@ _FIRST_RULES = {
     ),
     "dq_res_dates": _rule(
         "raw_reservations", "reservation_id", "TEMPORAL", "check_out_date is before check_in_date",
-        "check_in_date > check_out_date AND reservation_id IS NOT NULL",
+        "check_out_date < check_in_date AND reservation_id IS NOT NULL",
         "'check_in=' || check_in_date || ' | check_out=' || check_out_date",
     ),
     "dq_res_cancel_late": _rule(
@@ -159,7 +159,7 @@ _FIRST_RULES = {
     ),
     "dq_hk_times": _rule(
         "raw_housekeeping", "task_id", "TEMPORAL", "end_time is before start_time",
-        "start_time > end_time AND task_id IS NOT NULL",
+        "end_time < start_time AND task_id IS NOT NULL",
         f"'start=' || {_AT.format('start_time')} || ' | end=' || {_AT.format('end_time')}",
     ),
     "dq_hk_orphan_room": _orphan(
@@ -180,7 +180,7 @@ _FIRST_RULES = {
     ),
     "dq_billing_payment_before_booking": _rule(
         "raw_billing", "bill_id", "TEMPORAL", "payment_time is before booking_time",
-        "bill_id IS NOT NULL AND booking_time > payment_time",
+        "bill_id IS NOT NULL AND payment_time < booking_time",
         f"'payment=' || {_AT.format('payment_time')} || ' | booking=' || {_AT.format('booking_time')}",
     ).replace(
         "FROM raw_billing",
@@ -612,7 +612,7 @@ FROM (FROM dq_log UNION ALL FROM value_checks) GROUP BY ALL""",
                 "AND check_in_date <= check_out_date "
                 "AND coalesce(cancellation_time < check_in_date + INTERVAL 1 DAY, true) "
                 "AND lower(status) IN ('confirmed', 'cancelled', 'completed')",
-                "reservation_id IS NOT NULL AND (check_in_date > check_out_date "
+                "reservation_id IS NOT NULL AND (check_out_date < check_in_date "
                 "OR cancellation_time >= check_in_date + INTERVAL 1 DAY "
                 "OR lower(trim(status)) NOT IN ('confirmed', 'cancelled', 'completed'))",
             ),
@@ -621,7 +621,7 @@ FROM (FROM dq_log UNION ALL FROM value_checks) GROUP BY ALL""",
                 "task_id",
                 "task_id IS NOT NULL AND room_id IS NOT NULL AND (end_time IS NULL OR start_time <= end_time) "
                 "AND lower(trim(task_type)) IN ('cleaning', 'maintenance')",
-                "task_id IS NOT NULL AND (start_time > end_time "
+                "task_id IS NOT NULL AND (end_time < start_time "
                 "OR lower(trim(task_type)) NOT IN ('cleaning', 'maintenance') "
                 "OR lower(trim(status)) NOT IN ('completed', 'pending', 'in progress', 'pending review'))",
             ),
@@ -665,7 +665,7 @@ FROM (FROM dq_log UNION ALL FROM value_checks) GROUP BY ALL""",
                 "temporal_check",
                 "violations",
                 {
-                    "RES: check_out < check_in": "check_in_date > check_out_date",
+                    "RES: check_out < check_in": "check_out_date < check_in_date",
                     "RES: cancellation > check_in": "cancellation_time >= check_in_date + INTERVAL 1 DAY",
                 },
             ),
@@ -673,13 +673,13 @@ FROM (FROM dq_log UNION ALL FROM value_checks) GROUP BY ALL""",
                 "silver_housekeeping",
                 "temporal_check",
                 "violations",
-                {"HK: end_time < start_time": "start_time > end_time"},
+                {"HK: end_time < start_time": "end_time < start_time"},
             ),
             _counts(
                 "silver_billing JOIN silver_reservations USING (reservation_id)",
                 "temporal_check",
                 "violations",
-                {"BILLING: payment < booking_time": "booking_time > payment_time"},
+                {"BILLING: payment < booking_time": "payment_time < booking_time"},
             ),
         )
     ),
@@ -728,7 +728,9 @@ FROM stay""",
 SELECT * EXCLUDE (reservation_id, guest_id), reservation_id IS NOT NULL AS has_reservation FROM fact_billing""",
     "gold_reservation_wide": "FROM fact_reservation",
     "gold_housekeeping_wide": "FROM fact_housekeeping",
-    "gold_billing_wide": "FROM fact_billing",
+    "gold_billing_wide": """
+SELECT f.*, agreed_amount FROM fact_billing f
+LEFT JOIN (SELECT reservation_id, agreed_amount FROM stay) USING (reservation_id)""",
     "gold_load_audit": "\nUNION ALL\n".join(
         (
             _audit(

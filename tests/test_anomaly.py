@@ -2,7 +2,7 @@ import datetime as dt
 import random
 from decimal import Decimal
 
-from conftest import rows
+from helpers import rows
 from innledger.operators import anomaly
 from pyspark.sql import functions as F
 

@@ -1,4 +1,4 @@
-from conftest import rows, sample_dir
+from helpers import rows, sample_dir
 from innledger.operators import dq
 from innledger.plans.warehouse import warehouse
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import sample_dir
+from helpers import sample_dir
 from innledger.operators import anomaly, dq, gold, scd
 from innledger.operators.keys import assign_keys
 from innledger.plans.warehouse import SAMPLE_CLOCK, warehouse

@@ -1,7 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import rows
+from helpers import rows
 from innledger.operators import gold
 from pyspark.sql import functions as F
 

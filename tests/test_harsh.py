@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from conftest import TABLES, duck_table, sample_dir, spark_table
+from helpers import TABLES, duck_table, sample_dir, spark_table
 from harsh_sample import write_harsh_sample
 
 NAMES = """

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from helpers import rows
 from innledger.operators.dedup import dedup_latest
 from innledger.sources.csv_ingest import append_raw, cast_lenient, cast_strict, read_csv_raw, source_manifest
 from innledger.values import STAGE_NULL_TOKENS

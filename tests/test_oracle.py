@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_points
-from conftest import duck_table, sample_dir, spark_table
+from helpers import duck_table, sample_dir, spark_table
 from innledger.plans.oracle import ORACLES
 from innledger.plans.registry import QUERIES
 

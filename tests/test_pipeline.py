@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import rows
+from helpers import rows
 from innledger.plans.pipeline import run
 from innledger.plans.registry import QUERIES, REPORTS
 from innledger.plans.warehouse import Clock

@@ -1,6 +1,6 @@
 import shutil
 
-from conftest import sample_dir
+from helpers import sample_dir
 from innledger import session
 from innledger.plans.registry import QUERIES
 from innledger.plans.warehouse import SOURCE_TABLES, warehouse

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows, sample_dir
+from helpers import rows, sample_dir
 from innledger.operators import scd
 from innledger.plans.warehouse import SAMPLE_CLOCK, warehouse
 from innledger.streaming.incremental import merge_increments
