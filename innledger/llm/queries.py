@@ -12,6 +12,7 @@ from innledger.llm.decontaminate import leaks
 from innledger.llm.langid import predict, train
 from innledger.llm.line_dedup import dedup_lines
 from innledger.llm.near_dup import near_duplicates
+from innledger.llm.packing import pack
 from innledger.llm.piece_sampling import sampled_round_trip
 from innledger.llm.pii import personal_data
 from innledger.llm.quality import quality_rules
@@ -74,6 +75,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "sequences")
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_piece_sampling,
         op10_minhash_near_dedup,
+        op11_best_fit_packing,
     )
 }
 ORACLES: dict[str, str] = {
