@@ -13,6 +13,7 @@ from innledger.llm.langid import predict, train
 from innledger.llm.line_dedup import dedup_lines
 from innledger.llm.near_dup import near_duplicates
 from innledger.llm.packing import pack
+from innledger.llm.phrases import collocations
 from innledger.llm.piece_sampling import sampled_round_trip
 from innledger.llm.pii import personal_data
 from innledger.llm.quality import quality_rules
@@ -80,6 +81,10 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), folder)
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"), new_folder(spark, "phrases"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_piece_sampling,
         op10_minhash_near_dedup,
         op11_best_fit_packing,
+        op12_phrase_collocations,
     )
 }
 ORACLES: dict[str, str] = {
@@ -105,4 +111,25 @@ ORACLES: dict[str, str] = {
           case when n >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
           case when n >= 100 and page_id <> first_id then first_id end as refers_to
         from f""",
+    "op12_phrase_collocations": r"""
+        with s as (select coalesce(lang, 'und') as lang,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+        p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\n\x0B\f\r]')) as piece from s),
+        w as (select lang, regexp_extract_all(piece, '[^ \t]+') as ws from p),
+        n as (select lang, sum(len(ws))::bigint as n from w group by lang),
+        g as (select lang, k, unnest(list_transform(range(1, len(ws) - k + 2),
+            lambda i: array_to_string(ws[i:i + k - 1], ' '))) as phrase from w, range(1, 5) r(k)),
+        f as (select lang, k, phrase, string_split(phrase, ' ') as ws, count(*) as a from g group by all having count(*) >= 30),
+        c as (select lang, k, phrase, a, cut, array_to_string(ws[:cut], ' ') as x, array_to_string(ws[cut + 1:], ' ') as y
+            from f, range(1, 4) q(cut) where cut < k),
+        j as (select c.lang, c.phrase, c.a, c.cut, l.a as l, r.a as r, (2000000::hugeint * c.a) // (l.a + r.a) as score
+            from c join f l on l.lang = c.lang and l.phrase = c.x join f r on r.lang = c.lang and r.phrase = c.y),
+        m as (select * from j qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+        h as (select lang, array_to_string(ws[i:i + b - 1], ' ') as phrase, max(a) as longer
+            from f, range(1, 4) u(i), range(2, 4) v(b) where b < k and i + b - 1 <= k group by all),
+        o as (select m.* from m left join h using (lang, phrase)
+            where longer is null or 100::hugeint * longer < 80::hugeint * a)
+        select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank,
+          phrase, a, l, r, n, score::bigint as score
+        from o join n using (lang) qualify rank <= 2000""",
 }
