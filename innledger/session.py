@@ -68,3 +68,9 @@ def content_stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
     folder, fs = _hadoop_path(spark, path)
     summary = fs.getContentSummary(folder)
     return summary.getLength(), summary.getFileCount(), fs.getFileStatus(folder).getModificationTime()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that is no longer read, if it is there."""
+    folder, fs = _hadoop_path(spark, path)
+    fs.delete(folder, True)
