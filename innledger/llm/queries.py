@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innledger.llm.codes import vector_codes
 from innledger.llm.decontaminate import leaks
 from innledger.llm.langid import predict, train
 from innledger.llm.line_dedup import dedup_lines
@@ -85,6 +86,10 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"), new_folder(spark, "phrases"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_minhash_near_dedup,
         op11_best_fit_packing,
         op12_phrase_collocations,
+        op13_vector_codes,
     )
 }
 ORACLES: dict[str, str] = {
