@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from innledger.functions.columns import mean, pct, safe_ratio, sla_limit
@@ -28,16 +30,39 @@ def kpi1_occupancy(reservations: DataFrame, rooms: DataFrame) -> DataFrame:
 
 
 def kpi1_occupancy_nightly(reservations: DataFrame, rooms: DataFrame) -> DataFrame:
-    """Rooms in use per night, as a share of all rooms; every night of a stay counts."""
-    last_night = F.date_sub("check_out_date", 1)
-    stays = reservations.where(not_cancelled() & (F.col("check_out_date") > F.col("check_in_date")))
-    nights = (
-        stays.where(F.col("room_sk").isNotNull())
-        .select("room_sk", "check_in_date", "check_out_date")
-        .distinct()
-        .select("room_sk", F.explode(F.sequence("check_in_date", last_night)).alias("date"))
+    """Rooms in use per night, as a share of all rooms; every night of a stay counts.
+
+    A sweep over the boundaries of stays: a stay adds a room on the first night no earlier stay of the room covers, and
+    takes it away after the last. So a stay costs two boundaries however long it is. Stays are folded to one per room
+    and arrival day first, which bounds a room's window by the calendar; so is the running sum over the calendar.
+    """
+    stays = (
+        reservations.where(not_cancelled() & (F.col("check_out_date") > F.col("check_in_date")))
+        .where(F.col("room_sk").isNotNull())
+        .groupBy("room_sk", "check_in_date")
+        .agg(F.max("check_out_date").alias("check_out_date"))
+    )
+    earlier = Window.partitionBy("room_sk").orderBy("check_in_date").rowsBetween(Window.unboundedPreceding, -1)
+    covered = F.max("check_out_date").over(earlier)
+    free = stays.select("room_sk", F.greatest("check_in_date", covered).alias("opens"), F.col("check_out_date").alias("closes"))
+    boundaries = (
+        free.where("closes > opens")
+        .unpivot("room_sk", ["opens", "closes"], "boundary", "date")
+        .groupBy("date")
+        .agg(F.sum(F.when(F.col("boundary") == "opens", 1).otherwise(-1)).alias("change"))
     )
-    return _occupancy(nights.groupBy("date").agg(F.count_distinct("room_sk").alias("occupied_rooms")), rooms)
+    first, last = boundaries.agg(F.min("date")).scalar(), boundaries.agg(F.max("date")).scalar()
+    days = calendar(reservations.sparkSession).where((F.col("date") >= first) & (F.col("date") < last))
+    in_use = F.sum(F.coalesce("change", F.lit(0))).over(Window.orderBy("date"))
+    nights = days.join(boundaries, "date", "left").select("date", in_use.alias("occupied_rooms"))
+    return _occupancy(nights.where("occupied_rooms > 0"), rooms)
+
+
+def calendar(spark: SparkSession) -> DataFrame:
+    """Every day a date can be, some 3.7 million."""
+    first = dt.date(1, 1, 1)
+    day = F.date_add(F.lit("0001-01-01").cast("date"), F.col("id").cast("int"))
+    return spark.range((dt.date(9999, 12, 31) - first).days + 1).select(day.alias("date"))
 
 
 def _occupancy(days: DataFrame, rooms: DataFrame) -> DataFrame:
