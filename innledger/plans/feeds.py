@@ -11,10 +11,10 @@ from innledger.session import new_folder
 from innledger.sources.csv_ingest import (
     append_raw,
     cast_lenient,
-    cast_strict,
     increment_rows,
     parse_layout,
     read_csv_raw,
+    store_strict,
 )
 from innledger.streaming.incremental import merge_increments
 from innledger.values import RAW_LAYOUTS, STAGE_NULL_TOKENS
@@ -75,7 +75,8 @@ def _strict_tasks(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     }
     path = _extract(w, "housekeeping", faults)
     layout = RAW_LAYOUTS["housekeeping"]
-    return cast_strict(read_csv_raw(w.spark, path, layout, w.clock.loaded), layout)
+    raw = read_csv_raw(w.spark, path, layout, w.clock.loaded)
+    return store_strict(raw, layout, new_folder(w.spark, "tasks-by-outcome"))
 
 
 def ingest_reject_rows(w: Warehouse) -> DataFrame:

@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 from innledger.plans.registry import QUERIES, REPORTS
 from innledger.plans.warehouse import BUILDERS, Clock, Warehouse
 from innledger.sources.csv_ingest import (
+    OUTCOME,
     base_rows,
     cast_lenient,
-    cast_strict,
     increment_rows,
     read_csv_raw,
+    store_strict,
 )
 from innledger.values import RAW_LAYOUTS
 
@@ -35,24 +36,34 @@ STRICT_COLUMNS = {
 }
 
 
-def load_bronze(spark: SparkSession, stage: str, bronze: str, loaded_at: dt.datetime) -> None:
-    """Adds every extract to its raw table, and rejected rows to `<entity>_rejects`.
+def store_load(raw: DataFrame, entity: str, bronze: str, load: str) -> None:
+    """Adds raw text rows to the raw table of an entity as one load, and rejected rows to `<entity>_rejects`.
 
-    A load is a folder of its own, so a run that is repeated replaces what it wrote before.
+    A load is a folder of its own, so one that is repeated replaces what it wrote before. Its files are scanned once.
     """
-    load = f"load={loaded_at:%Y%m%dT%H%M%S}"
+    layout = RAW_LAYOUTS[entity]
+    path = f"{bronze}/{entity}/load={load}"
+    if entity in STRICT_COLUMNS:
+        _, rejected = store_strict(raw, layout, path, STRICT_COLUMNS[entity])
+        rejected.write.mode("overwrite").parquet(f"{bronze}/{entity}_rejects/load={load}")
+    else:
+        cast_lenient(raw, layout).write.mode("overwrite").parquet(path)
 
-    def write(rows: DataFrame, name: str) -> None:
-        rows.write.mode("overwrite").parquet(f"{bronze}/{name}/{load}")
 
+def load_bronze(spark: SparkSession, stage: str, bronze: str, loaded_at: dt.datetime) -> None:
+    """Adds every extract of the stage to its raw table."""
     for entity, layout in RAW_LAYOUTS.items():
         raw = read_csv_raw(spark, f"{stage}/{entity}", layout, loaded_at)
-        if entity in STRICT_COLUMNS:
-            good, rejected = cast_strict(raw, layout, STRICT_COLUMNS[entity])
-            write(rejected, f"{entity}_rejects")
-        else:
-            good = cast_lenient(raw, layout)
-        write(good, entity)
+        store_load(raw, entity, bronze, f"{loaded_at:%Y%m%dT%H%M%S}")
+
+
+def bronze_rows(spark: SparkSession, bronze: str, entity: str) -> DataFrame:
+    """The raw table of an entity over all its loads, with the name of each row's `load`."""
+    layout = f"{RAW_LAYOUTS[entity]}, _loaded_at timestamp_ntz, _file_name string, load string"
+    if entity not in STRICT_COLUMNS:
+        return spark.read.schema(layout).parquet(f"{bronze}/{entity}")
+    stored = spark.read.schema(f"{layout}, {OUTCOME} string").parquet(f"{bronze}/{entity}")
+    return stored.where(F.col(OUTCOME) == "good").drop(OUTCOME)
 
 
 def file_warehouse(
@@ -62,7 +73,7 @@ def file_warehouse(
 
     def raw(name: str) -> DataFrame:
         entity = name.removeprefix("raw_").removesuffix("_inc")
-        table = spark.read.parquet(f"{root}/bronze/{entity}").drop("load")
+        table = bronze_rows(spark, f"{root}/bronze", entity).drop("load")
         if name.endswith("_inc"):
             return increment_rows(table)
         return base_rows(table) if entity in ("guests", "rooms") else table

@@ -21,6 +21,8 @@ from innledger.values import INCREMENT_PATTERN, LOAD_NULL_TOKENS
 # Layouts tried in turn after ISO.
 DATE_FORMATS = ("dd-MMM-yyyy", "MM/dd/yyyy")
 CLOCK_FORMATS = ("dd-MMM-yyyy HH:mm:ss", "MM/dd/yyyy HH:mm:ss")
+#: Column that tells good rows from rejected ones, and the partition they are written to.
+OUTCOME = "outcome"
 _ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}"
 
 
@@ -28,6 +30,29 @@ def parse_layout(layout: str) -> T.StructType:
     return T.StructType.fromDDL(layout)
 
 
+def _lines(reader, path: str, layout: str, delimiter: str, multi_line: bool) -> DataFrame:
+    """All columns as text by position, from a batch or a stream reader."""
+    text_schema = T.StructType([T.StructField(n, T.StringType()) for n in parse_layout(layout).names])
+    return (
+        reader.schema(text_schema)
+        .option("header", True)
+        .option("sep", delimiter)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("encoding", "UTF-8")
+        .option("multiLine", multi_line)
+        .csv(path)
+    )
+
+
+def _stamped(lines: DataFrame, loaded_at: dt.datetime, null_tokens: Iterable[str], trim: bool) -> DataFrame:
+    values = [null_if_token(F.trim(n) if trim else F.col(n), null_tokens).alias(n) for n in lines.columns]
+    return lines.select(
+        *values, clock(loaded_at).alias("_loaded_at"), F.col("_metadata.file_name").alias("_file_name")
+    )
+
+
 def read_csv_raw(
     spark: SparkSession,
     path: str,
@@ -43,23 +68,25 @@ def read_csv_raw(
     Missing trailing columns become NULL and extra ones are ignored. Quoted line breaks need
     `multi_line`, which gives up splitting of large files.
     """
-    names = parse_layout(layout).names
-    text_schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    lines = (
-        spark.read.schema(text_schema)
-        .option("header", True)
-        .option("sep", delimiter)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("encoding", "UTF-8")
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-    values = [null_if_token(F.trim(n) if trim else F.col(n), null_tokens).alias(n) for n in names]
-    return lines.select(
-        *values, clock(loaded_at).alias("_loaded_at"), F.col("_metadata.file_name").alias("_file_name")
-    )
+    return _stamped(_lines(spark.read, path, layout, delimiter, multi_line), loaded_at, null_tokens, trim)
+
+
+def stream_csv_raw(
+    spark: SparkSession,
+    path: str,
+    layout: str,
+    loaded_at: dt.datetime,
+    files_per_batch: int | None = None,
+    null_tokens: Iterable[str] = LOAD_NULL_TOKENS,
+    trim: bool = False,
+    delimiter: str = ",",
+    multi_line: bool = False,
+) -> DataFrame:
+    """The same rows as a stream of the files that arrive in the folder."""
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _stamped(_lines(reader, path, layout, delimiter, multi_line), loaded_at, null_tokens, trim)
 
 
 def _typed(name: str, kind: T.DataType) -> Column:
@@ -85,22 +112,55 @@ def cast_lenient(raw: DataFrame, layout: str) -> DataFrame:
     return raw.select(*[_typed(f.name, f.dataType).alias(f.name) for f in schema], *rest)
 
 
-def cast_strict(raw: DataFrame, layout: str, strict: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Typed good rows, and the rows set aside because a strict column does not parse.
+def judge(raw: DataFrame, layout: str, strict: Sequence[str] = ()) -> DataFrame:
+    """Every row typed, with its `outcome`: `rejected` if a strict column does not parse, else `good`.
 
-    Strict columns default to all columns with a type other than text. Rejected rows keep their text
+    Strict columns default to all columns with a type other than text. Rejected rows keep their text in `_text`
     and name the offending columns in `rejected_columns`.
     """
     schema = parse_layout(layout)
     strict = strict or [f.name for f in schema if not isinstance(f.dataType, T.StringType)]
-    failed = [
-        F.when(F.col(f.name).isNotNull() & _typed(f.name, f.dataType).isNull(), F.lit(f.name))
-        for f in schema
-        if f.name in strict
-    ]
-    judged = raw.withColumn("rejected_columns", F.array_join(F.array_compact(F.array(*failed)), ","))
-    good = cast_lenient(judged.where("rejected_columns = ''").drop("rejected_columns"), layout)
-    return good, judged.where("rejected_columns <> ''")
+    rest = [c for c in raw.columns if c not in schema.names]
+    typed = F.struct(*[_typed(f.name, f.dataType).alias(f.name) for f in schema])
+    cast = raw.select(F.struct(*schema.names).alias("_text"), typed.alias("_typed"), *rest)
+    text, value = F.col("_text"), F.col("_typed")
+    failed = [F.when(text[n].isNotNull() & value[n].isNull(), F.lit(n)) for n in schema.names if n in strict]
+    broken = F.array_join(F.array_compact(F.array(*failed)), ",")
+    return cast.withColumn("rejected_columns", broken).select(
+        "_typed.*",
+        *rest,
+        F.when(F.col("rejected_columns") != "", text).alias("_text"),
+        "rejected_columns",
+        F.when(F.col("rejected_columns") == "", "good").otherwise("rejected").alias(OUTCOME),
+    )
+
+
+def _sides(judged: DataFrame, layout: str) -> tuple[DataFrame, DataFrame]:
+    names = parse_layout(layout).names
+    rest = [c for c in judged.columns if c not in (*names, "_text", "rejected_columns", OUTCOME)]
+    good = judged.where(F.col(OUTCOME) == "good").select(*names, *rest)
+    return good, judged.where(F.col(OUTCOME) == "rejected").select("_text.*", *rest, "rejected_columns")
+
+
+def cast_strict(raw: DataFrame, layout: str, strict: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Typed good rows, and the rows set aside because a strict column does not parse (see `judge`).
+
+    Each frame reads the files for itself; `store_strict` reads them once for both.
+    """
+    return _sides(judge(raw, layout, strict), layout)
+
+
+def store_strict(
+    raw: DataFrame, layout: str, path: str, strict: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Good and rejected rows as `cast_strict` gives them, from one scan of the files.
+
+    Rows are cast once and written by outcome; each side then reads its own partition of the path.
+    """
+    judged = judge(raw, layout, strict)
+    writer = judged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(OUTCOME).parquet(path)
+    return _sides(raw.sparkSession.read.schema(judged.schema).parquet(path), layout)
 
 
 def append_raw(df: DataFrame, path: str) -> None:

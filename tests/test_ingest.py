@@ -2,7 +2,15 @@ import datetime as dt
 
 from helpers import rows
 from innledger.operators.dedup import dedup_latest
-from innledger.sources.csv_ingest import append_raw, cast_lenient, cast_strict, read_csv_raw, source_manifest
+from innledger.sources.csv_ingest import (
+    append_raw,
+    cast_lenient,
+    cast_strict,
+    judge,
+    read_csv_raw,
+    source_manifest,
+    store_strict,
+)
 from innledger.values import STAGE_NULL_TOKENS
 
 NOW = dt.datetime(2024, 1, 1)
@@ -68,6 +76,30 @@ def test_strict_cast_sets_rows_aside(spark, tmp_path):
     assert only_day.count() == 2
 
 
+def test_strict_load_scans_once(spark, tmp_path):
+    lines = [f"{i},{'soon' if i % 10 == 3 else '2024-01-31'},,{i},1.25,yes" for i in range(200)]
+    path = write(tmp_path / "in", "x.csv", *lines)
+    raw = read_csv_raw(spark, path, LAYOUT, NOW)
+    plan = judge(raw, LAYOUT)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    good, rejected = store_strict(raw, LAYOUT, str(tmp_path / "out"))
+    want_good, want_rejected = cast_strict(raw, LAYOUT)
+    (tmp_path / "in" / "x.csv").unlink()  # both sides are read from what was written
+    assert (good.columns, rejected.columns) == (want_good.columns, want_rejected.columns)
+    assert (good.count(), rejected.count()) == (180, 20)
+    assert rows(rejected, "day", "rejected_columns")[0] == ("soon", "day")
+    for side, name in ((good, "good"), (rejected, "rejected")):
+        scan = side._jdf.queryExecution().executedPlan().toString()
+        assert f"outcome#" in scan and f"= {name})" in scan and "PartitionFilters: [isnotnull(outcome" in scan
+
+
+def test_strict_load_without_rejects_or_rows(spark, tmp_path):
+    for name, lines in (("all-good", ["1,,,,,"]), ("none", [])):
+        path = write(tmp_path / name, "x.csv", *lines)
+        good, rejected = store_strict(read_csv_raw(spark, path, LAYOUT, NOW), LAYOUT, str(tmp_path / f"{name}-out"))
+        assert (good.count(), rejected.count()) == (len(lines), 0)
+
+
 def test_reload_appends_and_dedup_removes(spark, tmp_path):
     path = str(tmp_path / "raw")
     df = spark.sql("select id, timestamp_ntz'2024-01-01 00:00:00' _loaded_at from range(10)")
