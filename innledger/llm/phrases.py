@@ -141,9 +141,9 @@ def bit_table(keys: DataFrame) -> Bits:
     places = F.array(F.shiftrightunsigned(key, 64 - bits), key.bitwiseAND(F.lit((1 << bits) - 1)))
     rows = keys.select(F.explode(places).alias("place"))
     bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    filled = rows.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("value")).toPandas()
+    filled = rows.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("value")).toArrow()
     words = np.zeros(1 << (bits - 6), np.int64)
-    words[filled["word"].to_numpy(np.int64)] = filled["value"].to_numpy(np.int64)
+    words[filled["word"].to_numpy()] = filled["value"].to_numpy()
     return Bits(words.view(np.uint64), bits)
 
 
