@@ -35,3 +35,23 @@ def assign_keys(stored: DataFrame, name: str) -> DataFrame:
     keyed = stored.join(F.broadcast(starts), PART)
     rest = [c for c in stored.columns if c not in (PART, POSITION)]
     return keyed.select((F.col("_start") + F.col(POSITION) + 1).alias(name), *rest)
+
+
+def unknown_keys(rows: DataFrame, known: DataFrame, natural: Sequence[str]) -> DataFrame:
+    """The natural keys of the rows that have no surrogate key yet."""
+    return rows.select(*natural).join(known, list(natural), "left_anti")
+
+
+def carry_keys(
+    rows: DataFrame, known: DataFrame, numbered: DataFrame, natural: Sequence[str], name: str
+) -> DataFrame:
+    """Rows with the surrogate keys of their natural keys: those known, and new ones from the highest known on.
+
+    `known` holds `name` and the natural keys, `numbered` the stored positions of the natural keys that are not in it
+    (see `unknown_keys` and `with_positions`). No known key changes, whatever rows arrive; the keys of rows that are
+    gone are not given away again. Natural keys are unique and not null.
+    """
+    highest = known.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
+    fresh = assign_keys(numbered, name).select((F.col(name) + highest).alias(name), *natural)
+    keys = known.select(name, *natural).unionByName(fresh)
+    return rows.join(keys, list(natural)).select(name, *rows.columns)

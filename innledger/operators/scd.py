@@ -7,7 +7,7 @@ snapshot. Applying the same increment again changes nothing.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -141,3 +141,46 @@ def merge_summary(merged: DataFrame, table: str) -> DataFrame:
     return merged.agg(*[rows(a) for a in ("expired", "new_version", "inserted", "overwritten", "unchanged")]).select(
         F.lit(table).alias("scd2_table"), "*"
     )
+
+
+BUCKET = "_bucket"
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_versions(versions: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Versions as a table that `merge_buckets` can change in part: partitioned by a hash of the key."""
+    bucketed = versions.withColumn(BUCKET, bucket_of(key, buckets)).repartition(F.col(BUCKET))
+    bucketed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(table)
+
+
+def merge_buckets(
+    table: str,
+    source: DataFrame,
+    key: str,
+    buckets: int,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    staging: str,
+) -> DataFrame:
+    """Merges the source into a table of `write_versions` and rewrites only the partitions of arriving keys.
+
+    What `merge` gives for these is written to `staging` first, then put in place by a dynamic partition overwrite; the
+    files of all other partitions stay as they are. A merge that is cut short may be repeated: merging the same rows
+    again changes nothing. Returns the rows of the rewritten partitions with their `action`.
+
+    A bucket holds the keys of one hash, so choose as many that one fits a task; their numbers, at most `buckets`, reach
+    the driver to prune the scan.
+    """
+    spark = source.sparkSession
+    arriving = source.where(F.col(key).isNotNull()).withColumn(BUCKET, bucket_of(key, buckets))
+    touched = [row[0] for row in arriving.select(BUCKET).distinct().collect()]
+    versions = spark.read.parquet(table)
+    before = versions.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    merged = merge(before, source).withColumn(BUCKET, bucket_of(key, buckets))
+    merged.repartition(F.col(BUCKET)).write.mode("overwrite").parquet(staging)
+    staged = spark.read.schema(merged.schema).parquet(staging)
+    writer = staged.select(*versions.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(BUCKET).parquet(table)
+    return staged.drop(BUCKET)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from innledger.operators import scd, silver
 from innledger.plans.warehouse import Warehouse
 from innledger.session import new_folder
+from innledger.sources.bronze import bronze_rows
 from innledger.sources.csv_ingest import (
     append_raw,
     cast_lenient,
@@ -16,15 +17,19 @@ from innledger.sources.csv_ingest import (
     read_csv_raw,
     store_strict,
 )
-from innledger.streaming.incremental import merge_increments
+from innledger.streaming.arrivals import load_arrivals, loads
+from innledger.streaming.incremental import merge_increments, merge_increments_in_place
 from innledger.values import RAW_LAYOUTS, STAGE_NULL_TOKENS
 
 
-def _extract(w: Warehouse, entity: str, faults: dict[str, Column]) -> str:
-    """Writes a raw table as CSV in file column order, with some columns replaced by faulty text."""
-    path = new_folder(w.spark, f"extract-{entity}")
+def _extract(
+    w: Warehouse, entity: str, faults: dict[str, Column], rows: Column | None = None, path: str | None = None
+) -> str:
+    """Writes a raw table, or some rows of it, as CSV in file column order, with some columns replaced by faulty text."""
+    path = path or new_folder(w.spark, f"extract-{entity}")
     names = parse_layout(RAW_LAYOUTS[entity]).names
     raw = w.raw(f"raw_{entity}")
+    raw = raw if rows is None else raw.where(rows)
     columns = [faults.get(n, F.col(n)).cast("string").alias(n) for n in names]
     writer = raw.select(*columns).write.option("header", True).option("quote", '"').option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -118,3 +123,70 @@ def stream_merge_rooms(w: Warehouse) -> DataFrame:
         checkpoint=f"{folder}/checkpoint",
         merge=lambda old, new: scd.merge_rooms(old, new, w.clock.merged),
     )
+
+
+#: Partitions of the versions that the sample's partition-wise merges work on.
+BUCKETS = 8
+
+
+def merge_rooms_in_place(w: Warehouse) -> DataFrame:
+    """The room merge again, into a table of which only the partitions of arriving keys are rewritten."""
+    folder = new_folder(w.spark, "room-buckets")
+    scd.write_versions(w.table("silver_rooms"), f"{folder}/versions", "room_id", BUCKETS)
+    increment = w.raw("raw_rooms_inc")
+    increment.write.parquet(f"{folder}/incoming")
+    merged = merge_increments_in_place(
+        w.spark,
+        incoming=f"{folder}/incoming",
+        schema=increment.schema,
+        table=f"{folder}/versions",
+        key="room_id",
+        buckets=BUCKETS,
+        checkpoint=f"{folder}/checkpoint",
+        merge=lambda old, new: scd.merge_rooms(old, new, w.clock.merged),
+    )
+    return merged.drop(scd.BUCKET)
+
+
+def merge_guests_in_place(w: Warehouse) -> DataFrame:
+    """What the guest merge did to each row, from the partitions that it rewrote."""
+    folder = new_folder(w.spark, "guest-buckets")
+    scd.write_versions(w.table("silver_guests"), f"{folder}/versions", "guest_id", BUCKETS)
+    return scd.merge_buckets(
+        f"{folder}/versions",
+        w.raw("raw_guests_inc"),
+        "guest_id",
+        BUCKETS,
+        lambda old, new: scd.merge_guests(old, new, w.clock.merged),
+        f"{folder}/staging",
+    )
+
+
+def _arrived_reservations(w: Warehouse) -> str:
+    """Raw reservations that came in as CSV files in three runs: some, the others, and all once more by force."""
+    folder = new_folder(w.spark, "reservation-arrivals")
+    for step in range(2):
+        part = _every("reservation_id", 2, step)
+        _extract(w, "reservations", {}, part, f"{folder}/incoming/part{step}")
+        for _ in range(2):  # the second run finds nothing new
+            _load_reservations(w, folder)
+    for _ in range(2):
+        _load_reservations(w, folder, "again")
+    return f"{folder}/bronze"
+
+
+def _load_reservations(w: Warehouse, folder: str, force: str | None = None) -> None:
+    load_arrivals(
+        w.spark, "reservations", f"{folder}/incoming/*", f"{folder}/bronze", f"{folder}/history", w.clock.loaded, force
+    )
+
+
+def bronze_stream_reload(w: Warehouse) -> DataFrame:
+    """Reservations that arrived as files and were loaded again by force, then validated: the copies leave no trace."""
+    raw = bronze_rows(w.spark, _arrived_reservations(w), "reservations").drop("load")
+    return silver.silver_reservations(raw, w.clock.loaded).drop("_source_file")
+
+
+def bronze_stream_loads(w: Warehouse) -> DataFrame:
+    """Rows of every load of the arrivals."""
+    return loads(w.spark, _arrived_reservations(w), "reservations").select("load", "loaded_rows")

@@ -547,6 +547,11 @@ SELECT task_id,
     if(task_id::BIGINT % 37 = 0, 'issue_detected_flag', NULL)) AS rejected_columns
 FROM raw_housekeeping WHERE task_id::BIGINT % 31 = 0 OR task_id::BIGINT % 37 = 0""",
     "bronze_append_reload": "FROM silver_reservations",
+    "bronze_stream_reload": "SELECT * EXCLUDE (_source_file) FROM silver_reservations",
+    "bronze_stream_loads": """
+SELECT 'regular-000000000' || (reservation_id::BIGINT % 2) AS load, count(*) AS loaded_rows
+FROM raw_reservations GROUP BY ALL
+UNION ALL SELECT 'again-0000000000', count(*) FROM raw_reservations""",
     "inc_file_filter": "FROM raw_guests_inc",
     "dedup_latest_bill": f"""
 SELECT * FROM raw_billing {_latest('raw_billing', 'bill_id', _BILL)}""",
@@ -560,6 +565,8 @@ SELECT *, (total_amount + taxes - discounts)::DECIMAL(18,2) AS net_amount FROM s
     "scd2_guests_merge": "FROM guest_versions",
     "scd2_rooms_merge": "FROM room_versions",
     "scd2_stream_merge": "SELECT * EXCLUDE (action) FROM room_versions",
+    "scd2_rooms_merge_in_place": "SELECT * EXCLUDE (action) FROM room_versions",
+    "scd2_guests_merge_in_place": "FROM guest_versions",
     "scd2_merge_summary": "\nUNION ALL\n".join(
         f"SELECT '{name}' AS scd2_table, "
         + ", ".join(

@@ -126,6 +126,8 @@ QUERIES: dict[str, Query] = {
     "ingest_reject_rows": feeds.ingest_reject_rows,
     "ingest_reject_log": feeds.ingest_reject_log,
     "bronze_append_reload": feeds.bronze_append_reload,
+    "bronze_stream_reload": feeds.bronze_stream_reload,
+    "bronze_stream_loads": feeds.bronze_stream_loads,
     "inc_file_filter": feeds.increment_guests,
     "synthetic_guests": _synthetic(synthetic.synthetic_guests, "raw_guests", "guest_id"),
     "synthetic_rooms": _synthetic(synthetic.synthetic_rooms, "raw_rooms", "room_id"),
@@ -146,6 +148,8 @@ QUERIES: dict[str, Query] = {
     "scd2_guests_merge": Warehouse.merged_guests,
     "scd2_rooms_merge": Warehouse.merged_rooms,
     "scd2_stream_merge": feeds.stream_merge_rooms,
+    "scd2_rooms_merge_in_place": feeds.merge_rooms_in_place,
+    "scd2_guests_merge_in_place": feeds.merge_guests_in_place,
     "scd2_merge_summary": _merge_summaries,
     "scd2_guest_history": lambda w: scd.changed_history(w.table("guest_versions").drop("action"), "guest_id"),
     "scd2_room_history": lambda w: scd.changed_history(w.table("room_versions").drop("action"), "room_id"),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from innledger.operators import anomaly, dq, gold, scd, silver
-from innledger.operators.keys import PART, POSITION, assign_keys, with_positions
+from innledger.operators.keys import PART, POSITION, assign_keys, carry_keys, unknown_keys, with_positions
 from innledger.session import content_stamp, new_folder
 from innledger.sources.sample_views import SOURCE_TABLES, raw_view
 from innledger.values import CANCEL_THRESHOLD, CANCEL_WINDOW_HOURS, MISMATCH_TOLERANCE
@@ -39,7 +39,8 @@ class Warehouse:
     """`raw` gives the raw tables by name: `raw_<entity>`, for guests and rooms also `raw_<entity>_inc`.
 
     `source` is the folder their files lie in, `root` the folder for the layer tables. `previous` is the
-    root of an earlier run whose guest and room versions are carried on instead of starting anew.
+    root of an earlier run whose guest and room versions and surrogate keys are carried on instead of starting anew.
+    `arrived` gives the raw rows that are merged into these versions, by the same names; all of `raw` by default.
     """
 
     def __init__(
@@ -50,12 +51,14 @@ class Warehouse:
         clock: Clock,
         root: str | None = None,
         previous: str | None = None,
+        arrived: Callable[[str], DataFrame] | None = None,
     ):
         self.spark = spark
         self.source = source
         self.raw = raw
         self.clock = clock
         self.previous = previous
+        self.arrived = arrived or raw
         self._root = root
         self._schemas: dict[str, StructType] = {}
         self._lock = threading.RLock()
@@ -83,7 +86,20 @@ class Warehouse:
         return self.stored(name).drop(PART, POSITION)
 
     def keyed(self, name: str, key: str) -> DataFrame:
-        return assign_keys(self.stored(name), key)
+        """The table with its surrogate keys. A carried run keeps those of the run before and goes on from the highest."""
+        stored = self.stored(name)
+        if self.previous is None:
+            return assign_keys(stored, key)
+        before, natural = KEY_TABLES[name]
+        known = self.spark.read.parquet(f"{self.previous}/{before}").select(key, *natural)
+        with self._lock:
+            fresh = self.path(f"fresh_keys/{name}")
+            if fresh not in self._schemas:
+                rows = with_positions(unknown_keys(stored.drop(PART, POSITION), known, natural), natural)
+                rows.write.mode("overwrite").parquet(fresh)
+                self._schemas[fresh] = rows.schema
+        numbered = self.spark.read.schema(self._schemas[fresh]).parquet(fresh)
+        return carry_keys(stored.drop(PART, POSITION), known, numbered, natural, key)
 
     # Transformations that both a layer table and a registered query are made of.
 
@@ -109,8 +125,8 @@ class Warehouse:
 
     def _arrived(self, name: str) -> DataFrame:
         """What is merged: the increment, and in a carried run the base rows too, which no first load takes."""
-        increment = self.raw(f"{name}_inc")
-        return increment if self.previous is None else self.raw(name).unionByName(increment)
+        increment = self.arrived(f"{name}_inc")
+        return increment if self.previous is None else self.arrived(name).unionByName(increment)
 
     def merged_guests(self) -> DataFrame:
         before = self._versions_before("guest_versions", "silver_guests")
@@ -139,18 +155,20 @@ class Warehouse:
             self.keyed("silver_reservations", "reservation_sk"), self.table("dim_guest"), self.table("dim_room")
         )
 
-    def anomalies(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """The reservation, housekeeping and billing facts with all flags of the detections."""
-        return anomaly.run_anomalies(
-            self.table("reservation_load"),
-            self.housekeeping_load(),
-            self.billing_load(),
-            self.clock.cancels_as_of,
-            self.clock.cancels_hours,
-            self.clock.cancels_threshold,
-            self.clock.tolerance,
+    # The facts with the flags of the detections; `anomaly.run_anomalies` gives all three to callers without a warehouse.
+
+    def fact_reservation(self) -> DataFrame:
+        clock = self.clock
+        return anomaly.flag_reservations(
+            self.table("reservation_load"), clock.cancels_as_of, clock.cancels_hours, clock.cancels_threshold
         )
 
+    def fact_housekeeping(self) -> DataFrame:
+        return anomaly.refresh_sla_flags(self.housekeeping_load())
+
+    def fact_billing(self) -> DataFrame:
+        return anomaly.flag_billing_mismatches(self.billing_load(), self.clock.tolerance)
+
     def housekeeping_load(self) -> DataFrame:
         return gold.load_housekeeping(self.keyed("silver_housekeeping", "housekeeping_sk"), self.table("dim_room"))
 
@@ -160,6 +178,15 @@ class Warehouse:
         )
 
 
+# Where a run's surrogate keys stand, by keyed table, and the natural keys they belong to.
+KEY_TABLES: dict[str, tuple[str, list[str]]] = {
+    "guest_versions": ("dim_guest", ["guest_id", "scd_version"]),
+    "room_versions": ("dim_room", ["room_id", "scd_version"]),
+    "silver_reservations": ("reservation_load", ["reservation_id"]),
+    "silver_housekeeping": ("fact_housekeeping", ["task_id"]),
+    "silver_billing": ("fact_billing", ["bill_id"]),
+}
+
 # Every layer table in dependency order. Dimensions are numbered in key order, facts as they come.
 BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "silver_guests": Warehouse.silver_guests,
@@ -173,9 +200,9 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_guest": Warehouse.dim_guest,
     "dim_room": Warehouse.dim_room,
     "reservation_load": Warehouse.reservation_load,
-    "fact_reservation": lambda w: w.anomalies()[0],
-    "fact_housekeeping": lambda w: w.anomalies()[1],
-    "fact_billing": lambda w: w.anomalies()[2],
+    "fact_reservation": Warehouse.fact_reservation,
+    "fact_housekeeping": Warehouse.fact_housekeeping,
+    "fact_billing": Warehouse.fact_billing,
 }
 
 # Clock of the sample tables, which end in 2001.
@@ -187,11 +214,18 @@ SAMPLE_CLOCK = Clock(
     cancels_threshold=1,
 )
 
-def _bronze(w: Warehouse, name: str, view: DataFrame) -> DataFrame:
-    """A raw table as stored: what queries read again and again is made from the sample tables once."""
+def _bronze(w: Warehouse, name: str, view: Callable[[], DataFrame]) -> DataFrame:
+    """A raw table as stored: what queries read again and again is made from the sample tables once.
+
+    Under the lock of the layer tables, so that of two queries at once only one writes it.
+    """
     path = w.path(f"bronze/{name}")
-    view.write.mode("overwrite").parquet(path)
-    return w.spark.read.schema(view.schema).parquet(path)
+    with w._lock:
+        if path not in w._schemas:
+            frame = view()
+            frame.write.mode("overwrite").parquet(path)
+            w._schemas[path] = frame.schema
+    return w.spark.read.schema(w._schemas[path]).parquet(path)
 
 
 _open: dict[tuple, Warehouse] = {}
@@ -209,6 +243,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     with _open_lock:
         if identity not in _open:
             read = cache(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
-            w = Warehouse(spark, sf_dir, cache(lambda name: _bronze(w, name, raw_view(spark, name, read))), SAMPLE_CLOCK)
+            raw = lambda name: _bronze(w, name, lambda: raw_view(spark, name, read))
+            w = Warehouse(spark, sf_dir, raw, SAMPLE_CLOCK)
             _open[identity] = w
         return _open[identity]
