@@ -2,27 +2,33 @@
 
 A document is its set of word shingles; documents with equal sets are one node of the search, represented by the smallest
 id. Each of ROOTS trees sends a document to the child named by its minimum under the tree's own hash function. A child
-with at most SMALL documents is compared exhaustively, on 256-bit sketches. A larger one is split again: a document goes on
+with at most SMALL documents is compared exhaustively. A larger one is split again: a document goes on
 to one or, in one case of three, two children, by hash functions that the path itself chooses, so on average to 4/3 of a
 child: two documents at the threshold of 3/4 then meet in one child of each split on average, and the trees make up for
-the splits in which they don't. Before a split, one member is compared with all others, and a node whose members are all
-connected by confirmed links is done: what matters is who is connected, not each link. A very large group of near copies
-mostly ends there, without all its pairs. Nodes of middling size, and what is still large after DEPTH splits, are compared
-block by block, and only members of different components.
+the splits in which they don't. Nodes of middling size, and what is still large after DEPTH splits, are compared block by
+block.
+
+What matters is who is connected, not each link, so every level has two passes. In the first a task compares 256-bit sketches
+and names, for each node, a spanning forest of its candidate pairs, most similar first, which is fewer pairs than members;
+large nodes take part in blocks of their own members and with one guide member each. These pairs are confirmed on full sets,
+and the components are brought up to date. In the second pass the members of a node that still have a
+candidate in another component meet with their texts in one task, which confirms on full sets and names the links of a spanning
+forest again. So the rows that either pass makes are in proportion to the members, even in a group of thousands of near
+copies. A large node whose members are all connected is done.
 
 Sizes and sketches only choose pairs: a pair is linked if its full shingle sets say so. The size test is exact. The sketch
 is the same in all trees, so a pair that it rejects is lost; its bound lies five standard deviations below what a pair at
 the threshold shares. Such a pair meets in at least one of the trees' first children with probability 1 - 4**-24.
 
 Null texts and texts without words have an empty set and are linked with nothing. A text with fewer words than a shingle is
-one shingle. Repeated rows give repeated rows with the same result; rows that share an id share its group. A null id counts
-as an id of its own kind: its row gets the smallest id of its group, or null where there is none. An empty table gives no
-rows. Further columns are not read.
+one shingle. Repeated rows give repeated rows with the same result; rows that share an id share its group. A row with a null
+id is a document of its own: its row gets the smallest id of its group, or null where no member has one; of such a group one
+row is kept. Ids are below 2**62. An empty table gives no rows. Further columns are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +50,7 @@ MIDDLE, BLOCK = 4096, 1024
 #: deviations (of 5.3 bits) below the 224 that a pair at the threshold shares on average.
 VALUES, BITS, NEAR_BITS = 48, 256, 197
 
-PROFILE = "doc_id long, n_shingles long, set_lo long, set_hi long, s0 long, s1 long, s2 long, s3 long, minima array<int>"
+PROFILE = "doc_id long, text string, n_shingles long, set_lo long, set_hi long, s0 long, s1 long, s2 long, s3 long, minima array<int>"
 SKETCH = ["s0", "s1", "s2", "s3"]
 _SEEDS = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 32, (BITS, 2), dtype=np.uint64).astype(np.uint32)
 _SEEDS[:, 0] |= np.uint32(1)
@@ -67,6 +73,13 @@ def shingles(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
     return hashes[at], owner[at], p.n
 
 
+def _where_null(ids: pa.Array, texts: pa.Array) -> pa.Array:
+    if not ids.null_count:
+        return pa.nulls(len(ids), texts.type)
+    lost = ids.is_null().to_pylist()
+    return pa.array([t.as_py() if here else None for t, here in zip(texts, lost, strict=True)], texts.type)
+
+
 def profiles(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
     """Size, 128-bit name, sketch and minwise values of each document's shingle set."""
 
@@ -93,6 +106,8 @@ def profiles(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch["doc_id"],
+                    # Only a row without an id has to keep its text to be found again.
+                    "text": _where_null(batch["doc_id"], batch["text"]),
                     "n_shingles": counts.astype(np.int64),
                     "set_lo": names[0].view(np.int64),
                     "set_hi": names[1].view(np.int64),
@@ -108,40 +123,157 @@ def profiles(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 PAIR = "a long, b long"
 MEMBER = ["path", "rep", "size", *SKETCH]
+OPEN = "path long, rep long, size long, s0 long, s1 long, s2 long, s3 long, component long"
 
 
-def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Near pairs of different components within each node. The members of a node come one after another; a node may begin
-    in one batch and end in the next."""
-    kept: list[np.ndarray] | None = None
-    for batch in batches:
-        rows = [batch[c].to_numpy(zero_copy_only=False) for c in (*MEMBER, "component")]
-        if kept is not None:
-            rows = [np.concatenate(x) for x in zip(kept, rows, strict=True)]
-        path, rep, size, *sketch, component = rows
-        if not len(path):
-            continue
-        seen = len(path) - batch.num_rows  # pairs among these have been found
-        last = np.searchsorted(path, path[-1])
-        kept = [x[last:] for x in rows]
-        found: tuple[list, list] = ([], [])
+class Nodes:
+    """Whole nodes, one after another, and their near pairs of different components."""
+
+    def __init__(self, columns: dict[str, np.ndarray]):
+        self.columns = columns
+        self.path, self.rep, self.component = columns["path"], columns["rep"], columns["component"]
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Left and right member and the number of sketch bits that differ, by how far the members lie apart."""
+        path, size = self.path, self.columns["size"]
         for d in range(1, len(path)):
             left = np.flatnonzero(path[d:] == path[:-d])
             if not len(left):
-                break
-            left = left[left + d >= seen]
-            left = left[component[left] != component[left + d]]
+                return
+            left = left[self.component[left] != self.component[left + d]]
             less, more = np.minimum(size[left], size[left + d]), np.maximum(size[left], size[left + d])
             left = left[100 * less >= PERCENT * more]
-            right = left + d
-            apart = np.zeros(len(left), np.int16)
-            for bits in sketch:
-                apart += np.bitwise_count((bits[left] ^ bits[right]).view(np.uint64))
+            apart = np.zeros(len(left), np.int64)
+            for name in SKETCH:
+                bits = self.columns[name]
+                apart += np.bitwise_count((bits[left] ^ bits[left + d]).view(np.uint64))
             near = apart <= BITS - NEAR_BITS
-            found[0].append(np.minimum(rep[left], rep[right])[near])
-            found[1].append(np.maximum(rep[left], rep[right])[near])
-        if found[0]:
-            yield pa.RecordBatch.from_pydict({"a": np.concatenate(found[0]), "b": np.concatenate(found[1])})
+            if near.any():
+                yield left[near], left[near] + d, apart[near]
+
+    def trees(self) -> np.ndarray:
+        """A number per member that those of one node and component share: its first member."""
+        _, first, own = np.unique(np.stack((self.path, self.component)), axis=1, return_index=True, return_inverse=True)
+        return first[own.reshape(-1)]
+
+
+def forest(trees: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which pairs join the trees to as few as possible, the least weight first: all trees take their best pair at once."""
+    order = np.argsort(weight, kind="stable")
+    chosen: list[np.ndarray] = []
+    trees = trees.copy()
+    while len(order):
+        a, b = trees[left[order]], trees[right[order]]
+        order, a, b = order[a != b], a[a != b], b[a != b]
+        if not len(order):
+            break
+        ends, best = np.unique(np.stack((a, b), 1).ravel(), return_index=True)
+        best //= 2
+        chosen.append(np.unique(order[best]))
+        parent = np.arange(int(trees.max()) + 1)
+        parent[ends] = np.where(a[best] == ends, b[best], a[best])
+        mutual = parent[parent[ends]] == ends  # two trees that chose each other: the smaller one leads
+        parent[ends[mutual]] = np.minimum(ends[mutual], parent[ends[mutual]])
+        while True:
+            above = parent[parent]
+            if (above == parent).all():
+                break
+            parent = above
+        trees = parent[trees]
+    return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
+
+
+def whole_nodes(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
+    """Rows in runs that end where a node ends. Nodes come one after another and are bounded in size."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        batch = batch.select(columns)
+        if not batch.num_rows:
+            continue
+        path = batch["path"].to_numpy()
+        last = int(np.searchsorted(path, path[-1])) if path[0] != path[-1] else 0
+        if last or (held and held[-1]["path"][0].as_py() != path[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _nodes(table: pa.Table) -> Nodes:
+    return Nodes({c: table[c].to_numpy() for c in (*MEMBER, "component")})
+
+
+def sparse_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the near pairs of each node."""
+    for table in whole_nodes(batches, [*MEMBER, "component"]):
+        nodes = _nodes(table)
+        found = list(nodes.pairs())
+        if found:
+            left, right, apart = (np.concatenate(x) for x in zip(*found, strict=True))
+            taken = forest(nodes.trees(), left, right, apart)
+            a, b = nodes.rep[left[taken]], nodes.rep[right[taken]]
+            yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members that are near to one of another component in their node."""
+    for table in whole_nodes(batches, [*MEMBER, "component"]):
+        nodes = _nodes(table)
+        mark = np.zeros(len(nodes.path), bool)
+        for left, right, _ in nodes.pairs():
+            mark[left] = mark[right] = True
+        if mark.any():
+            yield pa.RecordBatch.from_pydict({c: x[mark] for c, x in nodes.columns.items()})
+
+
+#: Shingles that are compared at a time, as bits, and pairs.
+STRETCH, RUN_PAIRS = 1 << 16, 4096
+
+
+def common_shingles(hashes: np.ndarray, owner: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many shingles the members of each pair have in common. Shingles of one member alone are left out."""
+    n = int(owner.max(initial=-1)) + 1
+    _, own, uses = np.unique(hashes, return_inverse=True, return_counts=True)
+    shared = uses[own] > 1
+    place = (np.cumsum(uses > 1) - 1)[own[shared]]
+    owner = owner[shared]
+    common = np.zeros(len(left), np.int64)
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    for start in range(0, int(place[-1]) + 1 if len(place) else 0, STRETCH):
+        at = slice(*np.searchsorted(place, (start, start + STRETCH)))
+        width = min(STRETCH, int(place[-1]) + 1 - start)
+        marks = np.zeros((n, -(-width // 64) * 64), bool)
+        marks[owner[at], place[at] - start] = True
+        bits = np.packbits(marks, axis=1).view(np.uint64)
+        for begin in range(0, len(left), RUN_PAIRS):
+            run = slice(begin, begin + RUN_PAIRS)
+            common[run] += np.bitwise_count(bits[left[run]] & bits[right[run]]).sum(1, dtype=np.int64)
+    return common
+
+
+def linked_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the links of each node, confirmed on full sets."""
+    for table in whole_nodes(batches, [*MEMBER, "component", "text"]):
+        path = table["path"].to_numpy()
+        edges = np.flatnonzero(np.diff(path, prepend=path[0] - 1, append=path[-1] + 1))
+        for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            node = table.slice(start, stop - start)
+            nodes = _nodes(node)
+            found = list(nodes.pairs())
+            if not found:
+                continue
+            left, right, _ = (np.concatenate(x) for x in zip(*found, strict=True))
+            hashes, owner, n = shingles(node["text"].combine_chunks())
+            counts = np.bincount(owner, minlength=n)
+            common = common_shingles(hashes, owner, left, right)
+            union = counts[left] + counts[right] - common
+            good = np.flatnonzero(100 * common >= PERCENT * union)
+            taken = good[forest(nodes.trees(), left[good], right[good], union[good] - common[good])]
+            if len(taken):
+                a, b = nodes.rep[left[taken]], nodes.rep[right[taken]]
+                yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
 def _near(left: str = "", right: str = "g."):
@@ -151,13 +283,16 @@ def _near(left: str = "", right: str = "g."):
 
 
 class Search:
-    """The state of one search: tables in `folder`, links found so far and the components they make."""
+    """The state of one search: tables in `folder` and the components found so far.
+
+    `texts` gives the text of every representative as rep, text.
+    """
 
-    def __init__(self, reps: DataFrame, documents: DataFrame, folder: str):
+    def __init__(self, reps: DataFrame, texts: DataFrame, folder: str):
         self.spark = reps.sparkSession
-        self.reps, self.documents, self.folder = reps, documents, folder
-        self.links: list[DataFrame] = []
-        self.tried: list[DataFrame] = []
+        self.reps, self.all_texts, self.folder = reps, texts, folder
+        self.texts: DataFrame | None = None
+        self.steps = 0
         self.labels = self.spark.createDataFrame([], "node long, component long")
 
     def kept(self, frame: DataFrame, name: str) -> DataFrame:
@@ -172,25 +307,29 @@ class Search:
         """`node`, `component` of every representative that is linked with another."""
         roots = F.posexplode(F.slice("minima", 1, ROOTS)).alias("tree", "value")
         level = self.reps.select("rep", "size", *SKETCH, roots).select(F.xxhash64("tree", "value").alias("path"), *MEMBER[1:])
-        texts = minima = None
+        minima = None
         for depth in range(DEPTH + 1):
             nodes = self.kept(
                 level.groupBy("path").agg(F.count("*").alias("count")).where(F.col("count") > SMALL), f"nodes{depth}"
             )
-            few = self.labelled(level.join(nodes, "path", "left_anti"), "rep", "component")
-            small = self.kept(_compared(few).distinct(), f"pairs{depth}")
+            few = level.join(nodes, "path", "left_anti")
             members = self.kept(level.join(nodes, "path"), f"members{depth}")
-            guided = self.guided(members, depth)
-            if texts is None:
-                # All that later splits can bring together is in a large node now.
-                involved = members.select("rep").unionByName(_ends(small)).distinct()
-                own = self.documents.select(F.col("doc_id").alias("rep"), "text").where("rep is not null")
+            first = self.labelled(few.unionByName(_homes(members)), "rep", "component")
+            pairs = self.kept(
+                _by_node(first, sparse_pairs, PAIR).unionByName(self.guided(members, depth)).distinct(), f"pairs{depth}"
+            )
+            if self.texts is None:
+                # All that later splits can bring together is in a large node now; a near member of a small one is in a pair.
+                involved = members.select("rep").unionByName(_ends(pairs)).distinct()
                 # Merged and never broadcast: the same plan at any size.
-                texts = self.kept(own.join(involved.hint("merge"), "rep", "left_semi"), "texts")
+                self.texts = self.kept(self.all_texts.join(involved.hint("merge"), "rep", "left_semi"), "texts")
                 minima = self.kept(
                     self.reps.select("rep", "minima").join(members.select("rep").distinct(), "rep", "left_semi"), "minima"
                 )
-            self.connect(small.unionByName(guided).distinct(), texts, depth)
+            if self.steps:
+                pairs = self.labelled(self.labelled(pairs, "a", "_a"), "b", "_b").where("_a <> _b").select("a", "b")
+            self.connect(confirm(pairs, self.texts))
+            self.settle(few)
             # A node whose members are all connected has nothing left to find.
             sizes = self.labelled(members, "rep", "component").groupBy("path", "component").agg(F.count("*").alias("c"))
             top = F.max(F.struct("c", "component")).alias("top")
@@ -200,8 +339,7 @@ class Search:
             if rest.isEmpty():
                 break
             done = F.col("count") <= MIDDLE if depth < DEPTH else F.lit(True)
-            blocks = _blocks(self.labelled(rest.where(done), "rep", "component"))
-            self.connect(_compared(blocks).distinct(), texts, f"{depth}b")
+            self.settle(_blocks(self.labelled(rest.where(done), "rep", "component")))
             level = self.kept(_children(rest.where(~done), minima), f"level{depth + 1}")
             if level.isEmpty():
                 break
@@ -214,31 +352,39 @@ class Search:
         near = members.join(guides, "path").where(_near() & (F.col("rep") != F.col("g.rep")))
         return near.select(F.least("rep", "g.rep").alias("a"), F.greatest("rep", "g.rep").alias("b"))
 
-    def connect(self, pairs: DataFrame, texts: DataFrame, depth: int | str) -> None:
-        """Confirms the pairs that are not connected yet, and brings the components up to date."""
-        if self.links:
-            pairs = self.labelled(self.labelled(pairs, "a", "_a"), "b", "_b").where("_a <> _b").select("a", "b")
-        for earlier in self.tried:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        pairs = self.kept(pairs, f"new{depth}")
-        self.tried.append(pairs)
-        if pairs.isEmpty():
-            return
-        self.links.append(self.kept(confirm(pairs, texts), f"links{depth}"))
-        known = self.links[0]
-        for links in self.links[1:]:
-            known = known.unionByName(links)
-        self.labels = components(self.spark, known, f"{self.folder}/components{depth}")
+    def settle(self, rows: DataFrame) -> None:
+        """Compares the members of bounded nodes that may be linked with another component on their full sets."""
+        rows = self.labelled(rows.select(*MEMBER), "rep", "component")
+        still = self.kept(_by_node(rows, open_members, OPEN), f"still{self.steps}")
+        if not still.isEmpty():
+            self.connect(_by_node(still.join(self.texts, "rep"), linked_members, PAIR))
+
+    def connect(self, links: DataFrame) -> None:
+        """Adds links and brings the components up to date: only the new links are followed, between components."""
+        step = self.steps = self.steps + 1
+        links = self.kept(links.distinct(), f"links{step}")
+        between = self.labelled(self.labelled(links, "a", "_a"), "b", "_b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+        moved = components(self.spark, between, f"{self.folder}/components{step}")
+        moved = moved.select(F.col("node").alias("component"), F.col("component").alias("_up"))
+        fresh = _ends(links).select(F.col("rep").alias("node")).distinct().join(self.labels, "node", "left_anti")
+        known = self.labels.unionByName(fresh.withColumn("component", F.col("node")))
+        now = known.join(moved, "component", "left").select("node", F.coalesce("_up", "component").alias("component"))
+        self.labels = self.kept(now, f"labels{step}")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
 
 
-def _compared(rows: DataFrame) -> DataFrame:
-    """Pairs of small nodes' members that are near to one another."""
-    rows = rows.select(*MEMBER, "component").repartition("path").sortWithinPartitions("path", "rep")
-    return rows.mapInArrow(compare, PAIR)
+def _by_node(rows: DataFrame, work: Callable, layout: str) -> DataFrame:
+    """Rows of small nodes, the members of a node one after another in one task."""
+    return rows.repartition("path").sortWithinPartitions("path", "rep").mapInArrow(work, layout)
+
+
+def _homes(members: DataFrame) -> DataFrame:
+    """The members of large nodes in blocks of some SMALL / 2, each in one."""
+    block = F.pmod(F.xxhash64(F.lit("home"), "path", "rep"), F.ceil(F.col("count") * 2 / SMALL))
+    return members.withColumn("path", F.xxhash64("path", block)).select(*MEMBER)
 
 
 def _children(rows: DataFrame, minima: DataFrame) -> DataFrame:
@@ -311,23 +457,28 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable over links) and kept (that is the document itself)."""
     spark = documents.sparkSession
     folder = new_folder(spark, "near-dup")
-    profiles(documents).write.parquet(f"{folder}/profiles")
-    known = spark.read.schema(PROFILE).parquet(f"{folder}/profiles")
+    rows = profiles(documents.withColumn("doc_id", F.col("doc_id").cast("long")))
+    rows.withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{folder}/profiles")
+    known = spark.read.parquet(f"{folder}/profiles")
+    # Rows without an id get one above all others.
+    top = known.agg(F.max("doc_id")).first()[0] or 0
+    known = known.withColumn("key", F.coalesce("doc_id", F.col("row") + F.lit(max(top, 0) + 1)))
     name = ["n_shingles", "set_lo", "set_hi"]
     # Rows with equal sets have equal sketches and minima.
     classes = known.where("n_shingles > 0").groupBy(*name).agg(
-        F.min("doc_id").alias("rep"), *[F.any_value(c).alias(c) for c in (*SKETCH, "minima")]
+        F.min("key").alias("rep"), *[F.any_value(c).alias(c) for c in (*SKETCH, "minima")]
     )
     classes.write.parquet(f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
-    reps = classes.where("rep is not null").select("rep", F.col("n_shingles").alias("size"), *SKETCH, "minima")
-    found = Search(reps, documents, folder).run()
+    own = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").where("rep is not null")
+    lost = known.where("doc_id is null").select(F.col("key").alias("rep"), "text")
+    reps = classes.select("rep", F.col("n_shingles").alias("size"), *SKETCH, "minima")
+    found = Search(reps, own.unionByName(lost), folder).run()
 
     group = classes.select(*name, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     group = group.select(*name, F.coalesce("component", "rep").alias("component"))
     group.write.parquet(f"{folder}/groups")
-    joined = known.select("doc_id", *name).join(spark.read.parquet(f"{folder}/groups"), name, "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    joined = known.select("doc_id", "key", *name).join(spark.read.parquet(f"{folder}/groups"), name, "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("key"))
+    shown = F.when(component <= max(top, 0), component).alias("component_id")
+    return joined.select("doc_id", "n_shingles", shown, (F.col("key") == component).alias("kept"))
