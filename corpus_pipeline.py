@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm.decontaminate import leaks
+from innledger.llm.decontaminate import SEED, leaks
 from innledger.llm.langid import UNKNOWN, predict, train
 from innledger.llm.line_dedup import WORD, dedup_lines
 from innledger.llm.near_dup import near_duplicates
@@ -47,16 +47,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the smallest id."""
+    """One document of each group stays, that with the smallest id; rows without an id are documents of their own."""
     docs = docs.select(*COLUMNS)
-    bad = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("bad_id")).distinct()
-    return _without(docs, bad)
+    top = max(docs.agg(F.max("doc_id")).first()[0] or 0, 0)
+    folder = f"{new_folder(spark, 'without-id')}"
+    docs.where("doc_id is null").withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
+    lost = spark.read.parquet(folder).withColumn("doc_id", F.col("row") + F.lit(top + 1)).select(*COLUMNS)
+    named = docs.where("doc_id is not null").unionByName(lost)
+    bad = near_duplicates(named).where("not kept").select(F.col("doc_id").alias("bad_id")).distinct()
+    return _without(named, bad).withColumn("doc_id", F.when(F.col("doc_id") <= top, F.col("doc_id")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; an item of fewer words than a seed says too little to drop a document."""
     docs = docs.select(*COLUMNS)
-    found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(F.col("n_words") >= SEED)
     return _without(docs, found.select(F.col("doc_id").alias("bad_id")).distinct())
 
 

@@ -3,11 +3,12 @@
 The base finds e-mail addresses, IP addresses, card and phone numbers by expression and arithmetic; what fails its test is
 dropped. They are the seeds of a bootstrap. A lexical pattern is the two words before an identifier, or the word before and
 the word after. Patterns and instances (other tokens that look like identifiers: with a digit or an at sign) make a
-bipartite graph, counted once over all texts. Then, in ROUNDS rounds, a pattern's score is the weighted share of known
-instances of one kind among all it extracts, and patterns with enough different seeds and a high score vouch for the
-other instances they extract (noisy-or); instances above the bar are known in the next round. In the end an occurrence in the
-context of a confident pattern whose instance is known becomes a span of kind `context_<kind>`. Base spans and their
-counts stay as they are.
+bipartite graph, counted once over all texts. Then, in ROUNDS rounds, a pattern belongs to the kind that most of its seeds
+and known instances have, and scores the weighted share of these among all that are decided; instances not decided yet
+count UNDECIDED of their weight against it. Patterns with enough seeds and known instances and a high
+score vouch for the other instances they extract (noisy-or). Instances above the bar are known in the next round, in which they
+count like seeds, so that patterns without any seed come in. In the end an occurrence in the context of a confident pattern
+whose instance is known becomes a span of kind `context_<kind>`. Base spans and their counts stay as they are.
 
 Everything is DataFrame expressions. Start points come from the lengths of what lies between matches, added up within
 a document. The expressions are possessive and begin only where a match can, so they take linear time on any text. A
@@ -40,7 +41,9 @@ NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 TOKEN = r"(?<!\S)(?=\S*[0-9@])\S++"
 #: Code points of context that are looked at on each side.
 CONTEXT = 80
-ROUNDS, FEWEST_SEEDS, PATTERN_SCORE, INSTANCE_SCORE = 3, 5, 0.8, 0.9
+#: Seeds and known instances a pattern has at least; scores of patterns that vouch and of instances that are known; what an
+#: undecided instance weighs against a pattern, of one that contradicts it.
+ROUNDS, FEWEST_SEEDS, PATTERN_SCORE, INSTANCE_SCORE, UNDECIDED = 3, 5, 0.5, 0.8, 0.05
 FEWEST_CHARACTERS = 6
 DOC = ["doc_id", "_text"]
 
@@ -78,11 +81,29 @@ def _matches(documents: DataFrame, kind: str, pattern: str) -> DataFrame:
     gaps = F.split("text", pattern, -1)
     found = some.select("_row", *DOC, gaps.alias("gaps"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("values"))
     found = found.where(F.size("values") > 0)
+    # Two words on a side lie in three gaps and the two matches between them, whatever these are.
+    tail = lambda x: F.right(x, F.lit(CONTEXT))
+    head = lambda x: F.left(x, F.lit(CONTEXT))
+    found = found.withColumns(
+        {
+            "tails": F.transform("gaps", tail), "heads": F.transform("gaps", head),
+            "value_tails": F.transform("values", tail), "value_heads": F.transform("values", head),
+        }
+    )
+
+    def before(value: Column, i: Column) -> Column:
+        parts = [("tails", -2), ("value_tails", -2), ("tails", -1), ("value_tails", -1), ("tails", 0)]
+        return tail(F.concat_ws("", *[F.get(name, i + step) for name, step in parts]))
+
+    def after(value: Column, i: Column) -> Column:
+        parts = [("heads", 1), ("value_heads", 1), ("heads", 2), ("value_heads", 2), ("heads", 3)]
+        return head(F.concat_ws("", *[F.get(name, i + step) for name, step in parts]))
+
     pieces = F.arrays_zip(
         F.transform("gaps", F.length).alias("gap"),
         "values",
-        F.transform("gaps", lambda g: F.right(g, F.lit(CONTEXT))).alias("before"),
-        F.transform(F.slice("gaps", 2, F.size("gaps")), lambda g: F.left(g, F.lit(CONTEXT))).alias("after"),
+        F.transform("values", before).alias("before"),
+        F.transform("values", after).alias("after"),
     )
     rows = found.select("_row", *DOC, F.posexplode(pieces).alias("i", "p")).where("p.values is not null")
     length = F.length("p.values")
@@ -140,24 +161,29 @@ def discover(base: DataFrame, tokens: DataFrame, folder: str) -> DataFrame:
 
     # Seeds have their kind, other instances none yet.
     graph = kept(edges(base.where("kind <> 'token'")).unionByName(edges(tokens)), "graph")
-    # Only patterns with seeds can ever vouch for anything.
-    seeded = (
-        graph.where("kind <> 'token'").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
-        .where(F.col("seeds") >= FEWEST_SEEDS).groupBy("pattern").agg(F.min_by("kind", F.struct(-F.col("seeds"), "kind")).alias("own"))
-    )
-    graph = kept(graph.join(seeded, "pattern"), "seeded")
+    # A pattern with fewer instances in all can never have enough that are known.
+    enough = graph.groupBy("pattern").agg(F.count_distinct("instance").alias("all")).where(F.col("all") >= FEWEST_SEEDS)
+    graph = kept(graph.join(enough.select("pattern"), "pattern"), "candidates")
     known = spark.createDataFrame([], "instance string, as_kind string, score double")
     for n in range(ROUNDS):
-        judged = graph.join(known, "instance", "left")
-        trust = (
-            F.when(F.col("kind") == F.col("own"), F.lit(1.0))
-            .when((F.col("kind") == "token") & (F.col("as_kind") == F.col("own")), F.col("score"))
-            .otherwise(F.lit(0.0))
+        told = graph.join(known, "instance", "left")
+        is_seed = F.col("kind") != "token"
+        judged = told.select(
+            "pattern",
+            F.when(is_seed, F.col("kind")).otherwise(F.col("as_kind")).alias("label"),
+            (F.log1p("count") * F.when(is_seed, 1.0).otherwise(F.coalesce("score", F.lit(UNDECIDED)))).alias("weight"),
+        )
+        per_label = judged.groupBy("pattern", "label").agg(F.sum("weight").alias("weight"), F.count("*").alias("n"))
+        lead = F.max(F.when(F.col("label").isNotNull(), F.struct("weight", "label", "n"))).alias("lead")
+        scored = per_label.groupBy("pattern").agg(lead, F.sum("weight").alias("total")).where("lead.n >= 1")
+        patterns = scored.select(
+            "pattern", F.col("lead.label").alias("own"), F.col("lead.n").alias("n"), (F.col("lead.weight") / F.col("total")).alias("p")
+        )
+        patterns = kept(
+            patterns.where((F.col("n") >= FEWEST_SEEDS) & (F.col("p") >= PATTERN_SCORE)).select("pattern", "own", "p"),
+            f"patterns{n}",
         )
-        weight = F.log1p("count")
-        patterns = judged.groupBy("pattern", "own").agg((F.sum(trust * weight) / F.sum(weight)).alias("p"))
-        patterns = kept(patterns.where(F.col("p") >= PATTERN_SCORE), f"patterns{n}")
-        votes = graph.where("kind = 'token'").join(patterns.select("pattern", "p"), "pattern")
+        votes = graph.where("kind = 'token'").join(patterns, "pattern")
         belief = votes.groupBy("instance", F.col("own").alias("as_kind")).agg(
             (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("p"), F.lit(1e-6)))))).alias("score")
         )
@@ -175,7 +201,8 @@ def discover(base: DataFrame, tokens: DataFrame, folder: str) -> DataFrame:
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
-    """doc_id, number of base spans of each kind, the hash of all base spans, and all spans with the discovered ones last."""
+    """doc_id, number of base spans of each kind, the hash of all base spans, all spans with the discovered ones last, and
+    how many were discovered."""
     spark = documents.sparkSession
     folder = new_folder(spark, "pii")
     documents = documents.select("doc_id", "text", F.xxhash64("text").alias("_text"))
@@ -207,11 +234,12 @@ def personal_data(documents: DataFrame) -> DataFrame:
     listed = spans.groupBy(*DOC).agg(
         F.array_sort(F.collect_list(F.struct("k", "start", text.alias("s")))).alias("all"),
         *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in KINDS],
+        F.count_if(F.col("kind").startswith("context_")).alias("n_context"),
     )
     only_base = F.filter("all", lambda x: x["k"] <= len(KINDS))
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: x["s"]), ",")
     listed = listed.select(
-        F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), *[f"n_{k}" for k in KINDS],
+        F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), *[f"n_{k}" for k in KINDS], "n_context",
         F.sha2(joined(only_base), 256).alias("base_sha256"), joined(F.col("all")).alias("spans"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_text").eqNullSafe(F.col("_hash"))
@@ -220,4 +248,5 @@ def personal_data(documents: DataFrame) -> DataFrame:
         *[F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in KINDS],
         F.coalesce("base_sha256", F.sha2(F.lit(""), 256)).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"),
+        F.coalesce("n_context", F.lit(0).cast("long")).alias("n_context"),
     )
