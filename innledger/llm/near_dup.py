@@ -153,8 +153,12 @@ class Nodes:
 
     def trees(self) -> np.ndarray:
         """A number per member that those of one node and component share: its first member."""
-        _, first, own = np.unique(np.stack((self.path, self.component)), axis=1, return_index=True, return_inverse=True)
-        return first[own.reshape(-1)]
+        order = np.lexsort((self.component, self.path))
+        path, component = self.path[order], self.component[order]
+        new = np.append(True, (path[1:] != path[:-1]) | (component[1:] != component[:-1]))
+        out = np.empty(len(order), np.int64)
+        out[order] = order[new][np.cumsum(new) - 1]
+        return out
 
 
 def forest(trees: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -233,7 +237,7 @@ STRETCH, RUN_PAIRS = 1 << 16, 4096
 
 def common_shingles(hashes: np.ndarray, owner: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """How many shingles the members of each pair have in common. Shingles of one member alone are left out."""
-    n = int(owner.max(initial=-1)) + 1
+    n = max(int(owner.max(initial=-1)), int(left.max(initial=-1)), int(right.max(initial=-1))) + 1
     _, own, uses = np.unique(hashes, return_inverse=True, return_counts=True)
     shared = uses[own] > 1
     place = (np.cumsum(uses > 1) - 1)[own[shared]]
@@ -253,21 +257,40 @@ def common_shingles(hashes: np.ndarray, owner: np.ndarray, left: np.ndarray, rig
     return common
 
 
+def _node_runs(table: pa.Table) -> Iterator[pa.Table]:
+    """The nodes in runs of at most CHUNK_BYTES of text, or one node."""
+    path = table["path"].to_numpy()
+    sizes = pc.binary_length(table["text"]).to_numpy().astype(np.int64)
+    ends = np.append(np.flatnonzero(np.diff(path)) + 1, len(path))
+    until = np.cumsum(sizes)[ends - 1]
+    start = before = 0
+    while start < len(path):
+        stop = max(int(np.searchsorted(until, before + CHUNK_BYTES, "right")), int(np.searchsorted(ends, start, "right")) + 1)
+        yield table.slice(start, ends[stop - 1] - start)
+        start, before = ends[stop - 1], until[stop - 1]
+
+
 def linked_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the links of each node, confirmed on full sets."""
     for table in whole_nodes(batches, [*MEMBER, "component", "text"]):
-        path = table["path"].to_numpy()
-        edges = np.flatnonzero(np.diff(path, prepend=path[0] - 1, append=path[-1] + 1))
-        for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            node = table.slice(start, stop - start)
-            nodes = _nodes(node)
+        for run in _node_runs(table):
+            nodes = _nodes(run)
             found = list(nodes.pairs())
             if not found:
                 continue
             left, right, _ = (np.concatenate(x) for x in zip(*found, strict=True))
-            hashes, owner, n = shingles(node["text"].combine_chunks())
+            order = np.argsort(left, kind="stable")
+            left, right = left[order], right[order]
+            hashes, owner, n = shingles(run["text"].combine_chunks())
             counts = np.bincount(owner, minlength=n)
-            common = common_shingles(hashes, owner, left, right)
+            first = np.append(np.flatnonzero(np.diff(nodes.path, prepend=nodes.path[0] - 1)), n)
+            shingle_at, pair_at = np.searchsorted(owner, first), np.searchsorted(left, first)
+            common = np.zeros(len(left), np.int64)
+            for i, member in enumerate(first[:-1].tolist()):
+                pairs = slice(pair_at[i], pair_at[i + 1])
+                if pairs.start < pairs.stop:
+                    own = slice(shingle_at[i], shingle_at[i + 1])
+                    common[pairs] = common_shingles(hashes[own], owner[own] - member, left[pairs] - member, right[pairs] - member)
             union = counts[left] + counts[right] - common
             good = np.flatnonzero(100 * common >= PERCENT * union)
             taken = good[forest(nodes.trees(), left[good], right[good], union[good] - common[good])]
