@@ -85,28 +85,52 @@ def _field(name: str) -> Column:
     return F.regexp_extract("header", rf"\n{name}: ([^\r]*)", 1)
 
 
+def _rebuilt(spark: SparkSession, folder: str) -> DataFrame:
+    """page_id, the whole record (header, payload unless it is a revisit, two line ends) and the bytes of the payload stored."""
+    joined = _headers(spark, folder).join(_payloads(spark, folder), "digest")
+    body = F.when(_field("WARC-Type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
+    record = F.concat(F.col("header").cast("binary"), body, F.lit(END * 2).cast("binary"))
+    return joined.select("page_id", record.alias("record"), F.octet_length("payload").cast("long").alias("stored_bytes"))
+
+
+def read_records(spark: SparkSession, folder: str) -> DataFrame:
+    """page_id and the whole record."""
+    return _rebuilt(spark, folder).select("page_id", "record")
+
+
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """What the records say and hold: page_id, payload_bytes, payload_digest, record_type, refers_to."""
-    sizes = _payloads(spark, folder).select("digest", F.octet_length("payload").cast("long").alias("payload_bytes"))
-    records = _headers(spark, folder).select(
-        F.regexp_extract(_field("WARC-Record-ID"), "<urn:page:(-?[0-9]+)>", 1).try_cast("long").alias("page_id"),
-        F.regexp_replace(_field("WARC-Payload-Digest"), "^sha256:", "").alias("digest"),
+    """What the rebuilt records say and hold: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    Each record is put together again and parsed: its header up to the empty line, and its body, whose length and digest have
+    to be those the header states. A revisit has no body; its payload's length is that of the payload it stands for.
+    """
+    head = F.substring_index(F.col("record").cast("string"), END * 2, 1)
+    parsed = _rebuilt(spark, folder).withColumn("header", head)
+    begin = F.octet_length("header") + len(END * 2)
+    body = F.substring(F.col("record"), begin + 1, F.octet_length("record") - begin - len(END * 2))
+    page = lambda name: F.regexp_extract(_field(name), "<urn:page:(-?[0-9]+)>", 1).try_cast("long")
+    fields = parsed.select(
+        page("WARC-Record-ID").alias("page_id"),
+        F.octet_length(body).cast("long").alias("body_bytes"),
+        F.sha2(body, 256).alias("body_digest"),
+        "stored_bytes",
+        _field("Content-Length").cast("long").alias("stated_bytes"),
+        F.regexp_replace(_field("WARC-Payload-Digest"), "^sha256:", "").alias("stated"),
         _field("WARC-Type").alias("record_type"),
-        F.regexp_extract(_field("WARC-Refers-To"), "<urn:page:(-?[0-9]+)>", 1).try_cast("long").alias("refers_to"),
+        page("WARC-Refers-To").alias("refers_to"),
     )
-    return records.join(sizes, "digest").select(
-        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to"
+    revisit = F.col("record_type") == "revisit"
+    sound = (F.col("body_bytes") == F.col("stated_bytes")) & (revisit | (F.col("body_digest") == F.col("stated")))
+    wrong = F.raise_error(F.concat(F.lit("record does not match its header: "), "stated")).cast("string")
+    return fields.select(
+        "page_id",
+        F.when(revisit, F.col("stored_bytes")).otherwise(F.col("body_bytes")).alias("payload_bytes"),
+        F.when(sound, F.when(revisit, F.col("stated")).otherwise(F.col("body_digest"))).otherwise(wrong).alias("payload_digest"),
+        "record_type",
+        "refers_to",
     )
 
 
-def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """page_id and the whole record: header, payload unless it is a revisit, two line ends."""
-    joined = _headers(spark, folder).join(_payloads(spark, folder), "digest")
-    body = F.when(_field("WARC-Type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
-    record = F.concat(F.col("header").cast("binary"), body, F.lit(END * 2).cast("binary"))
-    return joined.select("page_id", record.alias("record"))
-
-
 def export_warc(spark: SparkSession, folder: str, target: str) -> None:
     """The records as compressed files that any reader of web archives takes, written by Spark's text writer: the two line
     ends that close a record are its line separator."""
