@@ -335,8 +335,10 @@ class Search:
             nodes = self.kept(
                 level.groupBy("path").agg(F.count("*").alias("count")).where(F.col("count") > SMALL), f"nodes{depth}"
             )
-            few = level.join(nodes, "path", "left_anti")
-            members = self.kept(level.join(nodes, "path"), f"members{depth}")
+            # One join tells the members of small and of large nodes apart.
+            counted = self.kept(level.join(nodes, "path", "left"), f"counted{depth}")
+            few = counted.where("count is null").select(*MEMBER)
+            members = counted.where("count is not null")
             first = self.labelled(few.unionByName(_homes(members)), "rep", "component")
             pairs = self.kept(
                 _by_node(first, sparse_pairs, PAIR).unionByName(self.guided(members, depth)).distinct(), f"pairs{depth}"
