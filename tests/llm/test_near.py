@@ -63,6 +63,7 @@ def test_recursion_over_large_nodes(spark, monkeypatch, middle):
     monkeypatch.setattr(near_dup, "SMALL", 8)
     monkeypatch.setattr(near_dup, "MIDDLE", middle)
     monkeypatch.setattr(near_dup, "BLOCK", 8)
+    monkeypatch.setattr(near_dup, "DEPTH", 2)
     rng = random.Random(4)
     centre = " ".join(rng.choices(WORDS, k=100))
     # A core of near copies, and a fringe that is near to many of them but linked with few.
