@@ -81,3 +81,22 @@ def quality(text):
     repeat = {i + j for i, w in enumerate(windows) if uses[w] > 1 for j in range(3)}
     symbols = sum((text or "").count(c) for c in "#*$%&|<>")
     return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeat)
+
+
+def greedy_tiles(doc, item, k):
+    """Tiles (word in the document, word in the item, words) by trying every pair of places for each of them."""
+    free_doc, free_item, tiles = [True] * len(doc), [True] * len(item), []
+    while True:
+        best = (k - 1, 0, 0)
+        for a in range(len(item)):
+            for p in range(len(doc)):
+                n = 0
+                while a + n < len(item) and p + n < len(doc) and doc[p + n] == item[a + n] and free_doc[p + n] and free_item[a + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, a, p)
+        n, a, p = best
+        if n < k:
+            return tiles
+        tiles.append((p, a, n))
+        free_doc[p : p + n] = free_item[a : a + n] = [False] * n
