@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from innledger.functions.columns import any_of, clock_text, holds
 from innledger.operators import silver
+from innledger.session import remove_folder
 from innledger.values import (
     LOYALTY_TIERS,
     RESERVATION_STATUSES,
@@ -357,6 +358,26 @@ def rebuild_log(log: DataFrame, checks: DataFrame) -> DataFrame:
     return log.where("error_type <> 'VALUE'").unionByName(checks)
 
 
+def write_log(log: DataFrame, table: str) -> None:
+    """The log as a table partitioned by type, of which `replace_value_entries` can change a part."""
+    writer = log.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("error_type").parquet(table)
+
+
+def replace_value_entries(checks: DataFrame, table: str) -> None:
+    """`rebuild_log` in place: the checks replace the VALUE partition of a table of `write_log`, other files stay.
+
+    Without any check the partition goes, which an overwrite by partitions would leave as it was. A rebuild that is cut
+    short may be repeated.
+    """
+    spark, seen = checks.sparkSession, Observation()
+    values = checks.where("error_type = 'VALUE'").observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = values.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("error_type").parquet(table)
+    if not seen.get.get("rows"):
+        remove_folder(spark, f"{table}/error_type=VALUE")
+
+
 def log_summary(log: DataFrame) -> DataFrame:
     return log.groupBy("source_table", "error_type", "error_message").agg(F.count("*").alias("violations"))
 

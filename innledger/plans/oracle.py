@@ -925,6 +925,15 @@ WHERE sla_breached""",
     "dash_kpi_summary": "\nUNION ALL\n".join(_summary_line(*line) for line in _SUMMARY),
 }
 
+# Tables rebuilt in place and audits taken while writing have the results of those that are recomputed.
+for same, recomputed in {
+    "dq_log_rebuild_in_place": "dq_log_rebuild",
+    "audit_row_counts": "silver_row_counts",
+    "audit_merges": "scd2_merge_summary",
+    "audit_gold_loads": "gold_load_audit",
+}.items():
+    ORACLES[same] = ORACLES[recomputed]
+
 
 def _needed(text: str, found: dict[str, None]) -> None:
     for name in BLOCKS:

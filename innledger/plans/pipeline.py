@@ -21,6 +21,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innledger.operators import dq
 from innledger.operators.silver import clock as clock_literal
 from innledger.plans.registry import QUERIES, REPORTS
 from innledger.plans.warehouse import BUILDERS, Clock, Warehouse
@@ -66,7 +67,7 @@ def build(w: Warehouse, root: str, reports: Sequence[str]) -> None:
         if w.previous is None or table not in ("silver_guests", "silver_rooms"):
             w.stored(table)
     # The final state of the log, with the value checks of the second round.
-    QUERIES["dq_log_rebuild"](w).write.mode("overwrite").parquet(f"{root}/layers/dq_log_final")
+    dq.write_log(QUERIES["dq_log_rebuild"](w), f"{root}/layers/dq_log_final")
     for name in reports:
         dated = QUERIES[name](w).select(F.lit(w.clock.merged.isoformat()).alias("as_of"), "*")
         dated.write.mode("overwrite").parquet(f"{root}/reports/{name}")

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from innledger.operators import anomaly, dq, gold, scd, silver
 from innledger.operators.dedup import dedup_latest
-from innledger.plans import dashboard, feeds, kpi, reports
+from innledger.plans import audits, dashboard, feeds, kpi, reports
 from innledger.plans.warehouse import Warehouse, warehouse
+from innledger.session import new_folder
 from innledger.sources import synthetic
 
 Query = Callable[[Warehouse], DataFrame]
@@ -100,6 +101,18 @@ def _full_log(w: Warehouse) -> DataFrame:
     return w.table("dq_log").unionByName(dq.value_checks(w.raws()))
 
 
+def _rebuilt_log(w: Warehouse) -> DataFrame:
+    table = new_folder(w.spark, "dq-log")
+    log = w.table("dq_log")
+    dq.write_log(log, table)
+    dq.replace_value_entries(dq.value_checks(w.raws()), table)
+    return w.spark.read.schema(log.schema).parquet(table).select(*log.columns)
+
+
+def _measured(report: Callable[[dict[str, DataFrame]], DataFrame], *tables: str) -> Callable[[Warehouse], DataFrame]:
+    return lambda w: report({name: w.audit(name) for name in tables})
+
+
 def _value_counts(w: Warehouse) -> DataFrame:
     return dashboard.value_counts(
         [
@@ -188,6 +201,7 @@ QUERIES: dict[str, Query] = {
     "vc_hk_status": _row_rule("raw_housekeeping", "vc_hk_status"),
     "dq_log_full": _full_log,
     "dq_log_rebuild": lambda w: dq.rebuild_log(w.table("dq_log"), dq.value_checks(w.raws())),
+    "dq_log_rebuild_in_place": _rebuilt_log,
     "dq_log_summary": lambda w: dq.log_summary(_full_log(w)),
     "dq_log_by_table": _report(dq.log_by_table, "dq_log"),
     "dq_unexplained_drops": lambda w: dq.unexplained_drops(w.raws()),
@@ -232,6 +246,20 @@ QUERIES: dict[str, Query] = {
     "gold_load_audit": _report(
         gold.load_audit, "dim_guest", "dim_room", "reservation_load", "fact_housekeeping", "fact_billing"
     ),
+    # Audits taken while the tables were written
+    "audit_row_counts": _measured(
+        audits.row_counts,
+        "guest_versions",
+        "room_versions",
+        "silver_reservations",
+        "silver_housekeeping",
+        "silver_billing",
+        "dq_log",
+    ),
+    "audit_merges": _measured(audits.merge_summary, "guest_versions", "room_versions"),
+    "audit_gold_loads": _measured(
+        audits.load_audit, "dim_guest", "dim_room", "reservation_load", "fact_housekeeping", "fact_billing"
+    ),
     # Anomalies
     "anomaly_double_booking": lambda w: _flag(
         anomaly.flag_double_bookings(w.table("reservation_load")), "reservation_id", "is_double_booked"

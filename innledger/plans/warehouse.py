@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from innledger.operators import anomaly, dq, gold, scd, silver
 from innledger.operators.keys import PART, POSITION, assign_keys, carry_keys, unknown_keys, with_positions
+from innledger.plans.audits import AUDIT, MEASURED, write_measured
 from innledger.session import content_stamp, new_folder
 from innledger.sources.sample_views import SOURCE_TABLES, raw_view
 from innledger.values import CANCEL_THRESHOLD, CANCEL_WINDOW_HOURS, MISMATCH_TOLERANCE
@@ -78,10 +79,18 @@ class Warehouse:
         with self._lock:
             if name not in self._schemas:
                 frame = BUILDERS[name](self)
-                frame.write.mode("overwrite").parquet(self.path(name))
+                if name in MEASURED:
+                    write_measured(frame, name, self.path(name), self.path(f"audit/{name}"), PARTITIONS.get(name, ()))
+                else:
+                    frame.write.mode("overwrite").parquet(self.path(name))
                 self._schemas[name] = frame.schema
         return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
 
+    def audit(self, name: str) -> DataFrame:
+        """What was measured when the table was written."""
+        self.stored(name)
+        return self.spark.read.schema(AUDIT).parquet(self.path(f"audit/{name}"))
+
     def table(self, name: str) -> DataFrame:
         return self.stored(name).drop(PART, POSITION)
 
@@ -187,6 +196,9 @@ KEY_TABLES: dict[str, tuple[str, list[str]]] = {
     "silver_billing": ("fact_billing", ["bill_id"]),
 }
 
+# Layer tables that are written by partitions.
+PARTITIONS: dict[str, tuple[str, ...]] = {"dq_log": ("error_type",)}
+
 # Every layer table in dependency order. Dimensions are numbered in key order, facts as they come.
 BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "silver_guests": Warehouse.silver_guests,
