@@ -41,6 +41,8 @@ LEXICON, SEQUENCE, STRETCH = 2000, 64, 24
 ROUNDS, RATE, DECAY = 60, 0.3, 1e-4
 #: Words a worker keeps the emissions of; words of a block of the chain.
 CACHE_WORDS, BLOCK = 400_000, 128
+#: Bytes of text labelled at a time; the products of a run take some 200 bytes for each of them.
+RUN_BYTES = 1 << 19
 WORD_LETTERS = 40
 WORD = re.compile(rf"[^\W\d_]{{1,{WORD_LETTERS}}}")
 
@@ -282,7 +284,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(sent.value)
         names = np.array([*sent.value.languages, UNKNOWN], object)
-        for batch in slices(batches):
+        for batch in slices(batches, size=RUN_BYTES):
             marginals, counts = labeller.label(batch["text"].to_pylist())
             n = len(counts)
             some = np.flatnonzero(counts) if len(names) > 1 else np.zeros(0, np.int64)

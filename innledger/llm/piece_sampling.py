@@ -34,10 +34,12 @@ from innledger.llm.words import mixed, powers, slices
 
 POWER, SEED = 1.0, 0
 #: Nodes of filtered lattices that a worker keeps, also between tasks: about 100 bytes each with their arcs and text.
-CACHE_NODES = 1_000_000
+CACHE_NODES = 500_000
 #: Stretches filtered at a time; a factor for each character that keeps weights of long stretches near one; the most
 #: characters a piece has.
-STRETCHES, SCALE, MOST = 50_000, 10.0, 32
+STRETCHES, SCALE, MOST = 20_000, 10.0, 32
+#: Bytes of text drawn at a time.
+RUN_BYTES = 1 << 19
 _STRETCH = re.compile(r"\n| *[^ \n]+| +")
 
 
@@ -308,7 +310,7 @@ def encode_pieces(documents: DataFrame, path: str, seed: int = SEED, power: floa
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sampler(path, power)
-        for batch in slices(batches):
+        for batch in slices(batches, size=RUN_BYTES):
             ids, counts = own.sample(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), seed)
             offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
             lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
@@ -338,7 +340,7 @@ def sampled_round_trip(documents: DataFrame, path: str, seed: int = SEED, power:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sampler(path, power)
-        for batch in slices(batches):
+        for batch in slices(batches, size=RUN_BYTES):
             texts = batch["text"].to_pylist()
             ids, counts = own.sample(batch["doc_id"].to_pylist(), texts, seed)
             raw = ids.astype("<u4", copy=False)
