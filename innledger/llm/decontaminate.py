@@ -8,8 +8,8 @@ again and again until none of SEED words is left, the first in the item and then
 found whatever the order of its parts, and no word counts twice. An item leaks into a document if tiles cover `share` of its
 words.
 
-The bit table is sized from the number of seeds, up to 32 MiB (16 million seeds); a larger benchmark only lets more
-through to the join. Hashes are 64 bits of whole word runs.
+The bit table is sized from the number of seeds, up to 32 MiB: of windows that are no seed it lets one in 256 through, up to
+a million seeds. A larger benchmark only lets more through to the join. Hashes are 64 bits of whole word runs.
 
 Null and empty texts match nothing. An item with fewer than SEED words is one seed as a whole; its first place in a text
 counts. Rows that repeat a document count once. Every text of a document id and of an item id is searched, and the pair that
@@ -32,8 +32,8 @@ from innledger.llm.words import Packed, mixed, powers, slices
 
 SEED = 5
 SHARE = 0.5
-#: Size of the bit table: bits a seed, and the least and the most leading bits of a hash (8 KiB and 32 MiB).
-BITS_A_SEED, LEAST_BITS, MOST_BITS = 16, 16, 28
+#: Size of the bit table: bits a seed, and the least and the most leading bits of a hash (2 MiB and 32 MiB).
+BITS_A_SEED, LEAST_BITS, MOST_BITS = 256, 24, 28
 #: Characters of scripts without spaces between words; in UTF-8 all of them begin with a byte from 0xE0 on.
 UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
 

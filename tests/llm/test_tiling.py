@@ -60,4 +60,4 @@ def test_texts_that_share_an_id_and_names_that_clash(spark):
 
 
 def test_table_grows_with_the_seeds():
-    assert decontaminate.table_bits(0) == 16 and decontaminate.table_bits(1 << 20) == 24 and decontaminate.table_bits(1 << 40) == 28
+    assert decontaminate.table_bits(0) == 24 and decontaminate.table_bits(1 << 18) == 26 and decontaminate.table_bits(1 << 40) == 28
