@@ -8,7 +8,7 @@ Forward-backward gives each word's distribution over languages; a document's lan
 that mean its score.
 
 The model is fitted on the driver from a bounded sample of labelled rows: about SAMPLE_DOCS documents a language, chosen by
-a hash of the id, and SAMPLE_WORDS consecutive words of each. Prediction covers whole texts: all words of a run of texts
+a hash of id and text, of at most LANGUAGES languages, and SAMPLE_WORDS consecutive words of each. Prediction covers whole texts: all words of a run of texts
 make one chain that restarts with every text. It is cut into blocks whose matrix products are computed side by side and
 joined up after, so one very long text costs no more than many short ones.
 
@@ -35,6 +35,8 @@ from innledger.llm.words import slices
 
 UNKNOWN = "und"
 SAMPLE_DOCS, SAMPLE_WORDS = 500, 120
+#: Most languages that are learnt, those with the most labelled rows, by name among equals.
+LANGUAGES = 200
 FEATURES = 1 << 16
 #: Frequent words of a language in its lexicon; words of a training sequence; mean words between two languages in it.
 LEXICON, SEQUENCE, STRETCH = 2000, 64, 24
@@ -220,11 +222,12 @@ def train(documents: DataFrame) -> Model:
     rows = documents.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["n"] for r in sizes.collect()}
     if not counts:
         return fit([])
     every = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, max(1, n // SAMPLE_DOCS))])
-    chosen = rows.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), every[F.col("lang")]) == 0)
+    chosen = rows.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), every[F.col("lang")]) == 0)
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -235,8 +238,10 @@ def train(documents: DataFrame) -> Model:
                 found.append(" ".join(words[at : at + SAMPLE_WORDS]))
             yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "lang": batch["lang"], "words": found})
 
-    found = chosen.mapInArrow(stretches, "doc_id long, lang string, words string").collect()
-    return fit([(r.lang, r.words.split()) for r in sorted(found, key=lambda r: (r.lang, zlib.crc32(str(r.doc_id).encode()), r.doc_id))])
+    # Copies of a row are chosen together and teach nothing more.
+    found = chosen.mapInArrow(stretches, "doc_id long, lang string, words string").distinct().collect()
+    order = lambda r: (r.lang, zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.words)
+    return fit([(r.lang, r.words.split()) for r in sorted(found, key=order)])
 
 
 class Labeller:

@@ -151,6 +151,20 @@ def test_language(spark):
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
 
 
+def test_what_reaches_the_driver_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    rows = [(i, f"{w} {w} house {i % 7}", w) for i in range(60) for w in ("en", "de")]
+    junk = [(1000 + i, f"junk {i}", f"label{i}") for i in range(40)]
+    copies = [(7001, "one row many times", "en")] * 3000
+    seen = []
+    fit = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda samples: (seen.append(samples), fit(samples))[1])
+    model = langid.train(spark.createDataFrame(rows + junk + copies, "doc_id long, text string, lang string"))
+    assert sorted(model.languages) == ["de", "en"] and len(seen[0]) <= 2 * langid.SAMPLE_DOCS
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert langid.predict(empty, model).count() == 0
+
+
 def test_every_letter_of_a_long_run_is_read(spark):
     rnd = random.Random(6)
     en, de = ["the", "house", "with", "thing", "this", "which"], ["das", "haus", "mit", "nicht", "dieses", "schön"]
