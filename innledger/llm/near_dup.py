@@ -5,16 +5,16 @@ id. Each of ROOTS trees sends a document to the child named by its minimum under
 with at most SMALL documents is compared exhaustively. A larger one is split again: a document goes on
 to one or, in one case of three, two children, by hash functions that the path itself chooses, so on average to 4/3 of a
 child: two documents at the threshold of 3/4 then meet in one child of each split on average, and the trees make up for
-the splits in which they don't. Nodes of middling size, and what is still large after DEPTH splits, are compared block by
-block.
+the splits in which they don't. Nodes of middling size are compared exhaustively too, as wholes; what is still large after
+DEPTH splits is compared block by block.
 
-What matters is who is connected, not each link, so every level has two passes. In the first a task compares 256-bit sketches
-and names, for each node, a spanning forest of its candidate pairs, most similar first, which is fewer pairs than members;
-large nodes take part in blocks of their own members and with one guide member each. These pairs are confirmed on full sets,
-and the components are brought up to date. In the second pass the members of a node that still have a
-candidate in another component meet with their texts in one task, which confirms on full sets and names the links of a spanning
-forest again. So the rows that either pass makes are in proportion to the members, even in a group of thousands of near
-copies. A large node whose members are all connected is done.
+What matters is who is connected, not each link, so every level has two passes over the same rows. In the first a task compares
+256-bit sketches and names, for each node, a spanning forest of its candidate pairs, most similar first, which is fewer pairs
+than members; the members of middling and large nodes take part in a block each and with one guide member. These pairs are
+confirmed on full sets, and the components are brought up to date. In the second pass the nodes up to middling size come whole:
+the members that still have a candidate in another component meet with their texts in one task, which confirms on full sets
+and names the links of a spanning forest again. No member is copied for either pass, so the rows that they make are in
+proportion to the members, even in a group of thousands of near copies. A node whose members are all connected is done.
 
 Sizes and sketches only choose pairs: a pair is linked if its full shingle sets say so. The size test is exact. The sketch
 is the same in all trees, so a pair that it rejects is lost; its bound lies five standard deviations below what a pair at
@@ -43,8 +43,7 @@ from innledger.session import new_folder
 SHINGLE = 5
 PERCENT = 75
 ROOTS, SMALL, DEPTH = 24, 128, 14
-#: Nodes up to this size are compared block by block instead of being split, and so is what is left after DEPTH splits;
-#: members of a block.
+#: Nodes up to this size are compared whole instead of being split; members of a block of what is left after DEPTH splits.
 MIDDLE, BLOCK = 4096, 1024
 #: Minwise values kept for choosing children; sketch bits; bits that a candidate pair shares at least: five standard
 #: deviations (of 5.3 bits) below the 224 that a pair at the threshold shares on average.
@@ -127,7 +126,7 @@ OPEN = "path long, rep long, size long, s0 long, s1 long, s2 long, s3 long, comp
 
 
 class Nodes:
-    """Whole nodes, one after another, and their near pairs of different components."""
+    """Whole nodes, one after another, by size within, and their near pairs of different components."""
 
     def __init__(self, columns: dict[str, np.ndarray]):
         self.columns = columns
@@ -135,21 +134,24 @@ class Nodes:
 
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Left and right member and the number of sketch bits that differ, by how far the members lie apart."""
-        path, size = self.path, self.columns["size"]
-        for d in range(1, len(path)):
-            left = np.flatnonzero(path[d:] == path[:-d])
-            if not len(left):
-                return
-            left = left[self.component[left] != self.component[left + d]]
-            less, more = np.minimum(size[left], size[left + d]), np.maximum(size[left], size[left + d])
-            left = left[100 * less >= PERCENT * more]
-            apart = np.zeros(len(left), np.int64)
+        path, size, component = self.path, self.columns["size"], self.component
+        first = np.flatnonzero(np.diff(path, prepend=path[0] - 1))
+        several = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first)
+        left = np.flatnonzero(np.repeat(several, np.diff(np.append(first, len(path)))))
+        d = 0
+        while len(left):
+            d += 1
+            left = left[left < len(path) - d]
+            # Sizes ascend within a node: a member that is too small for this one is too small for all that follow.
+            left = left[(path[left] == path[left + d]) & (100 * size[left] >= PERCENT * size[left + d])]
+            open_ = left[component[left] != component[left + d]]
+            apart = np.zeros(len(open_), np.int64)
             for name in SKETCH:
                 bits = self.columns[name]
-                apart += np.bitwise_count((bits[left] ^ bits[left + d]).view(np.uint64))
+                apart += np.bitwise_count((bits[open_] ^ bits[open_ + d]).view(np.uint64))
             near = apart <= BITS - NEAR_BITS
             if near.any():
-                yield left[near], left[near] + d, apart[near]
+                yield open_[near], open_[near] + d, apart[near]
 
     def trees(self) -> np.ndarray:
         """A number per member that those of one node and component share: its first member."""
@@ -161,8 +163,9 @@ class Nodes:
         return out
 
 
-def forest(trees: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Which pairs join the trees to as few as possible, the least weight first: all trees take their best pair at once."""
+def joined(trees: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs join the trees to as few as possible, the least weight first, and the trees that they make: all trees take
+    their best pair at once."""
     order = np.argsort(weight, kind="stable")
     chosen: list[np.ndarray] = []
     trees = trees.copy()
@@ -184,7 +187,12 @@ def forest(trees: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.nd
                 break
             parent = above
         trees = parent[trees]
-    return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
+    return np.concatenate(chosen) if chosen else np.zeros(0, np.int64), trees
+
+
+def forest(trees: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The pairs of `joined` alone."""
+    return joined(trees, left, right, weight)[0]
 
 
 def whole_nodes(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
@@ -231,8 +239,8 @@ def open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({c: x[mark] for c, x in nodes.columns.items()})
 
 
-#: Shingles that are compared at a time, as bits, and pairs.
-STRETCH, RUN_PAIRS = 1 << 16, 4096
+#: Shingles that are compared at a time, as bits, and pairs; candidate pairs that are held at a time.
+STRETCH, RUN_PAIRS, HELD_PAIRS = 1 << 14, 4096, 1 << 18
 
 
 def common_shingles(hashes: np.ndarray, owner: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -270,33 +278,68 @@ def _node_runs(table: pa.Table) -> Iterator[pa.Table]:
         start, before = ends[stop - 1], until[stop - 1]
 
 
+def _runs_of_pairs(nodes: Nodes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The near pairs in runs of some HELD_PAIRS, by left member."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+    for left, right, _ in nodes.pairs():
+        held.append((left, right))
+        n += len(left)
+        if n >= HELD_PAIRS:
+            yield _by_left(held)
+            held, n = [], 0
+    if held:
+        yield _by_left(held)
+
+
+def _by_left(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    left, right = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(left, kind="stable")
+    return left[order], right[order]
+
+
+def _shingles_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes, row by row, and the row of each."""
+    hashes, owners, before = [], [], 0
+    for batch in slices(table.select(["text"]).to_batches()):
+        found, owner, n = shingles(batch["text"])
+        hashes.append(found)
+        owners.append(owner + before)
+        before += n
+    return np.concatenate(hashes), np.concatenate(owners)
+
+
 def linked_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the links of each node, confirmed on full sets."""
     for table in whole_nodes(batches, [*MEMBER, "component", "text"]):
         for run in _node_runs(table):
             nodes = _nodes(run)
-            found = list(nodes.pairs())
-            if not found:
-                continue
-            left, right, _ = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.argsort(left, kind="stable")
-            left, right = left[order], right[order]
-            hashes, owner, n = shingles(run["text"].combine_chunks())
-            counts = np.bincount(owner, minlength=n)
+            trees = nodes.trees()
+            hashes = owner = None
+            n = len(nodes.path)
             first = np.append(np.flatnonzero(np.diff(nodes.path, prepend=nodes.path[0] - 1)), n)
-            shingle_at, pair_at = np.searchsorted(owner, first), np.searchsorted(left, first)
-            common = np.zeros(len(left), np.int64)
-            for i, member in enumerate(first[:-1].tolist()):
-                pairs = slice(pair_at[i], pair_at[i + 1])
-                if pairs.start < pairs.stop:
-                    own = slice(shingle_at[i], shingle_at[i + 1])
-                    common[pairs] = common_shingles(hashes[own], owner[own] - member, left[pairs] - member, right[pairs] - member)
-            union = counts[left] + counts[right] - common
-            good = np.flatnonzero(100 * common >= PERCENT * union)
-            taken = good[forest(nodes.trees(), left[good], right[good], union[good] - common[good])]
-            if len(taken):
-                a, b = nodes.rep[left[taken]], nodes.rep[right[taken]]
-                yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            for left, right in _runs_of_pairs(nodes):
+                if hashes is None:
+                    hashes, owner = _shingles_of(run)
+                    counts = np.bincount(owner, minlength=n)
+                    shingle_at = np.searchsorted(owner, first)
+                # What an earlier run of pairs has connected needs no further link.
+                apart = trees[left] != trees[right]
+                left, right = left[apart], right[apart]
+                pair_at = np.searchsorted(left, first)
+                common = np.zeros(len(left), np.int64)
+                for i, member in enumerate(first[:-1].tolist()):
+                    pairs = slice(pair_at[i], pair_at[i + 1])
+                    if pairs.start < pairs.stop:
+                        own = slice(shingle_at[i], shingle_at[i + 1])
+                        common[pairs] = common_shingles(hashes[own], owner[own] - member, left[pairs] - member, right[pairs] - member)
+                union = counts[left] + counts[right] - common
+                good = np.flatnonzero(100 * common >= PERCENT * union)
+                taken, trees = joined(trees, left[good], right[good], union[good] - common[good])
+                taken = good[taken]
+                if len(taken):
+                    a, b = nodes.rep[left[taken]], nodes.rep[right[taken]]
+                    yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
 def _near(left: str = "", right: str = "g."):
@@ -335,16 +378,14 @@ class Search:
             nodes = self.kept(
                 level.groupBy("path").agg(F.count("*").alias("count")).where(F.col("count") > SMALL), f"nodes{depth}"
             )
-            # One join tells the members of small and of large nodes apart.
             counted = self.kept(level.join(nodes, "path", "left"), f"counted{depth}")
-            few = counted.where("count is null").select(*MEMBER)
             members = counted.where("count is not null")
-            first = self.labelled(few.unionByName(_homes(members)), "rep", "component")
+            first = self.labelled(_homes(counted), "rep", "component")
             pairs = self.kept(
                 _by_node(first, sparse_pairs, PAIR).unionByName(self.guided(members, depth)).distinct(), f"pairs{depth}"
             )
             if self.texts is None:
-                # All that later splits can bring together is in a large node now; a near member of a small one is in a pair.
+                # All that later passes can bring together is in a larger node now; a near member of a small one is in a pair.
                 involved = members.select("rep").unionByName(_ends(pairs)).distinct()
                 # Merged and never broadcast: the same plan at any size.
                 self.texts = self.kept(self.all_texts.join(involved.hint("merge"), "rep", "left_semi"), "texts")
@@ -354,18 +395,21 @@ class Search:
             if self.steps:
                 pairs = self.labelled(self.labelled(pairs, "a", "_a"), "b", "_b").where("_a <> _b").select("a", "b")
             self.connect(confirm(pairs, self.texts))
-            self.settle(few)
-            # A node whose members are all connected has nothing left to find.
-            sizes = self.labelled(members, "rep", "component").groupBy("path", "component").agg(F.count("*").alias("c"))
+            size = F.coalesce("count", F.lit(0))
+            self.settle(counted.where(size <= MIDDLE))
+            # A larger node whose members are all connected has nothing left to find.
+            larger = members.where(F.col("count") > MIDDLE)
+            sizes = self.labelled(larger, "rep", "component").groupBy("path", "component").agg(F.count("*").alias("c"))
             top = F.max(F.struct("c", "component")).alias("top")
             mixed_nodes = sizes.groupBy("path").agg(top, F.sum("c").alias("n")).where("top.c < n")
             mixed_nodes = mixed_nodes.select("path", F.col("top.component").alias("main"), (F.col("n") - F.col("top.c")).alias("others"))
-            rest = self.kept(members.join(mixed_nodes, "path"), f"open{depth}")
+            rest = self.kept(larger.join(mixed_nodes, "path"), f"open{depth}")
             if rest.isEmpty():
                 break
-            done = F.col("count") <= MIDDLE if depth < DEPTH else F.lit(True)
-            self.settle(_blocks(self.labelled(rest.where(done), "rep", "component")))
-            level = self.kept(_children(rest.where(~done), minima), f"level{depth + 1}")
+            if depth == DEPTH:
+                self.settle(_blocks(self.labelled(rest, "rep", "component")))
+                break
+            level = self.kept(_children(rest, minima), f"level{depth + 1}")
             if level.isEmpty():
                 break
         return self.labels
@@ -402,14 +446,15 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _by_node(rows: DataFrame, work: Callable, layout: str) -> DataFrame:
-    """Rows of small nodes, the members of a node one after another in one task."""
-    return rows.repartition("path").sortWithinPartitions("path", "rep").mapInArrow(work, layout)
+    """Rows of bounded nodes, the members of a node one after another in one task."""
+    return rows.repartition("path").sortWithinPartitions("path", "size", "rep").mapInArrow(work, layout)
 
 
-def _homes(members: DataFrame) -> DataFrame:
-    """The members of large nodes in blocks of some SMALL / 2, each in one."""
+def _homes(rows: DataFrame) -> DataFrame:
+    """The members of larger nodes in blocks of some SMALL / 2, each in one; small nodes as they are."""
     block = F.pmod(F.xxhash64(F.lit("home"), "path", "rep"), F.ceil(F.col("count") * 2 / SMALL))
-    return members.withColumn("path", F.xxhash64("path", block)).select(*MEMBER)
+    home = F.when(F.col("count").isNull(), F.col("path")).otherwise(F.xxhash64("path", block))
+    return rows.withColumn("path", home).select(*MEMBER)
 
 
 def _children(rows: DataFrame, minima: DataFrame) -> DataFrame:
