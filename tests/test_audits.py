@@ -1,11 +1,15 @@
 """Audits taken while writing, and the log rebuilt by partitions."""
 
+import shutil
+from pathlib import Path
+
 import pytest
 from helpers import rows, sample_dir
 from innledger.operators import dq
 from innledger.plans import audits
 from innledger.plans.registry import QUERIES
 from innledger.plans.warehouse import warehouse
+from innledger.sources.sample_views import SOURCE_TABLES
 
 LOG = "source_table string, record_id string, error_type string, error_message string, raw_value string"
 
@@ -44,3 +48,21 @@ def test_only_value_partitions_are_rewritten(spark, tmp_path):
     dq.replace_value_entries(checks.limit(0), table)
     found = spark.read.schema(log.schema).parquet(table)
     assert rows(found, "record_id") == [("2",), ("3",)] and files() == before
+
+
+def test_a_raw_table_is_stored_when_asked_for_again(spark, tmp_path):
+    for table in {t for tables in SOURCE_TABLES.values() for t in tables}:
+        shutil.copy(f"{sample_dir('0.001')}/{table}.parquet", tmp_path)
+    w = warehouse(spark, str(tmp_path))
+    kept = Path(w.path("bronze/raw_rooms"))
+    first = w.raw("raw_rooms")
+    assert not kept.exists()
+    again = w.raw("raw_rooms")
+    assert kept.exists() and again.dtypes == first.dtypes
+    assert rows(again, *first.columns) == rows(first, *first.columns)
+
+
+def test_layers_are_written_in_small_files(spark):
+    w = warehouse(spark, sample_dir("0.001"))
+    for name in ("silver_rooms", "silver_billing"):
+        assert all(".zstd." in file for file in w.table(name).inputFiles())
