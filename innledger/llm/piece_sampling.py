@@ -35,9 +35,9 @@ from innledger.llm.words import mixed, powers, slices
 POWER, SEED = 1.0, 0
 #: Nodes of filtered lattices that a worker keeps, also between tasks: about 100 bytes each with their arcs and text.
 CACHE_NODES = 500_000
-#: Stretches filtered at a time; a factor for each character that keeps weights of long stretches near one; the most
-#: characters a piece has.
-STRETCHES, SCALE, MOST = 20_000, 10.0, 32
+#: Stretches filtered at a time, so few that their arcs stay in the processor's cache; a factor for each character that keeps
+#: weights of long stretches near one; the most characters a piece has.
+STRETCHES, SCALE, MOST = 4000, 10.0, 32
 #: Bytes of text drawn at a time.
 RUN_BYTES = 1 << 19
 _STRETCH = re.compile(r"\n| *[^ \n]+| +")
@@ -77,6 +77,11 @@ class Vocabulary:
         self.hashes = hashes[order]
         self.found_id = np.array([self.weights.get(p, (0.0, -1))[1] for p in prefixes])[order]
         self.found_weight = np.array([self.weights.get(p, (0.0, -1))[0] for p in prefixes])[order]
+        #: The table by the first bits of the hashes, so that most of what is not in it is met by an empty bucket.
+        bits = max(len(self.hashes).bit_length() + 1, 1)
+        self.shift = np.uint64(64 - bits)
+        firsts = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.bucket_first = np.append(np.searchsorted(self.hashes, firsts), len(self.hashes)).astype(np.int32)
         sizes = np.array([len(b) for b in spelt], np.int64)
         self.spelt = Codes([])
         self.spelt.add(np.frombuffer(b"".join(spelt), np.uint8), sizes)
@@ -84,8 +89,17 @@ class Vocabulary:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places in the table, -1 where there is none."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        bucket = (hashes >> self.shift).view(np.int64)
+        at = self.bucket_first[bucket]
+        found = np.full(len(hashes), -1, np.int64)
+        left = np.flatnonzero(at < self.bucket_first[bucket + 1])
+        at, end = at[left], self.bucket_first[bucket[left] + 1]
+        while len(left):
+            same = self.hashes[at] == hashes[left]
+            found[left[same]] = at[same]
+            going = np.flatnonzero(~same & (at + 1 < end))
+            left, at, end = left[going], at[going] + 1, end[going]
+        return found
 
 
 @cache
@@ -169,7 +183,7 @@ class Lattices:
         reach[first_node - self.nodes] = 1.0
         start_of = np.repeat(first_node, sizes + 1)
         place = end - start_of[end - self.nodes]
-        order = np.argsort(place, kind="stable")
+        order = np.argsort(_narrow(place), kind="stable")
         begin, end, piece, weight, place = (x[order] for x in (begin, end, piece, weight, place))
         way = np.zeros(len(begin))
         bounds = np.searchsorted(place, np.arange(1, int(sizes.max()) + 2))
@@ -185,7 +199,7 @@ class Lattices:
                 for back in range(min(MOST, p + 1) + 1):
                     reach[at - back] *= scale
 
-        order = np.lexsort((-way, end))
+        order = np.lexsort((-way, _narrow(end - self.nodes)))
         begin, end, piece, way = (x[order] for x in (begin, end, piece, way))
         first_arc = np.searchsorted(end, self.nodes + np.arange(total + 1))
         some = first_arc[:-1][first_arc[1:] > first_arc[:-1]]
@@ -203,6 +217,11 @@ class Lattices:
         self.arcs += len(begin)
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in 16 bits where these do, which numpy sorts without comparing."""
+    return x.astype(np.uint16) if x.max(initial=0) < 1 << 16 else x
+
+
 def _put(column: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
     column = room(column, at + len(values))
     column[at : at + len(values)] = values
