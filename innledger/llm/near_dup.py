@@ -12,7 +12,8 @@ What matters is who is connected, not each link, so every level has two passes o
 256-bit sketches and names, for each node, a spanning forest of its candidate pairs, most similar first, which is fewer pairs
 than members; the members of middling and large nodes take part in a block each and with one guide member. These pairs are
 confirmed on full sets, and the components are brought up to date. In the second pass the nodes up to middling size come whole:
-the members that still have a candidate in another component meet with their texts in one task, which confirms on full sets
+where the candidate pairs of different components are no more than their members, they are named, so that a pair that meets in
+many trees is confirmed once; else these members meet with their texts in one task, which confirms on full sets
 and names the links of a spanning forest again. No member is copied for either pass, so the rows that they make are in
 proportion to the members, even in a group of thousands of near copies. A node whose members are all connected is done.
 
@@ -123,6 +124,7 @@ def profiles(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
 PAIR = "a long, b long"
 MEMBER = ["path", "rep", "size", *SKETCH]
 OPEN = "path long, rep long, size long, s0 long, s1 long, s2 long, s3 long, component long"
+STILL = f"{OPEN}, {PAIR}"
 
 
 class Nodes:
@@ -229,14 +231,31 @@ def sparse_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The members that are near to one of another component in their node."""
+    """What is near in a node and of different components: its pairs, where they are no more than the members that they have,
+    else these members. Pairs that meet in several nodes can be told to be the same ones."""
     for table in whole_nodes(batches, [*MEMBER, "component"]):
         nodes = _nodes(table)
         mark = np.zeros(len(nodes.path), bool)
+        node = np.cumsum(np.diff(nodes.path, prepend=nodes.path[0]) != 0)
+        size = np.bincount(node)
+        n_pairs = np.zeros(len(size), np.int64)
+        held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for left, right, _ in nodes.pairs():
             mark[left] = mark[right] = True
+            n_pairs += np.bincount(node[left], minlength=len(size))
+            few = n_pairs[node[left]] <= size[node[left]]
+            held.append((left[few], right[few]))
+        few = n_pairs <= np.bincount(node[mark], minlength=len(size))
+        left, right = (np.concatenate(x) for x in zip(*held, strict=True))
+        own = few[node[left]]
+        mark &= ~few[node]
+        if own.any():
+            a, b = nodes.rep[left[own]], nodes.rep[right[own]]
+            empty = {c: pa.nulls(len(a), pa.int64()) for c in nodes.columns}
+            yield pa.RecordBatch.from_pydict({**empty, "a": np.minimum(a, b), "b": np.maximum(a, b)})
         if mark.any():
-            yield pa.RecordBatch.from_pydict({c: x[mark] for c, x in nodes.columns.items()})
+            none = pa.nulls(int(mark.sum()), pa.int64())
+            yield pa.RecordBatch.from_pydict({**{c: x[mark] for c, x in nodes.columns.items()}, "a": none, "b": none})
 
 
 #: Shingles that are compared at a time, as bits, and pairs; candidate pairs that are held at a time.
@@ -424,9 +443,11 @@ class Search:
     def settle(self, rows: DataFrame) -> None:
         """Compares the members of bounded nodes that may be linked with another component on their full sets."""
         rows = self.labelled(rows.select(*MEMBER), "rep", "component")
-        still = self.kept(_by_node(rows, open_members, OPEN), f"still{self.steps}")
+        still = self.kept(_by_node(rows, open_members, STILL), f"still{self.steps}")
         if not still.isEmpty():
-            self.connect(_by_node(still.join(self.texts, "rep"), linked_members, PAIR))
+            pairs = still.where("path is null").select("a", "b").distinct()
+            whole = still.where("path is not null").drop("a", "b").join(self.texts, "rep")
+            self.connect(confirm(pairs, self.texts).unionByName(_by_node(whole, linked_members, PAIR)))
 
     def connect(self, links: DataFrame) -> None:
         """Adds links and brings the components up to date: only the new links are followed, between components."""

@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text that are hashed at a time; a longer text is hashed alone.
-CHUNK_BYTES = 2 << 20
+#: Bytes of text that are hashed at a time, some 50 bytes of arrays for each of them; a longer text is hashed alone.
+CHUNK_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 WHITESPACE = np.zeros(256, bool)
 WHITESPACE[[32, 9, 10, 11, 12, 13]] = True

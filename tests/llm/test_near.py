@@ -134,3 +134,16 @@ def test_pairs_of_a_pass_are_fewer_than_members():
         by_path[columns["path"][row["a"]]] |= {row["a"], row["b"]}
     assert sum(map(len, by_path.values())) == n
     assert sum(b.num_rows for b in near_dup.open_members(iter(batches))) == n
+
+
+def test_thin_nodes_name_their_pairs():
+    """Node 1 has two open members, node 2 five copies of one document and node 3 the pair of node 1 again."""
+    path = np.array([1, 1, 1, 2, 2, 2, 2, 2, 3, 3])
+    rep = np.array([10, 11, 12, 20, 21, 22, 23, 24, 11, 10])
+    far = np.where(rep == 12, -1, 0)  # shares no bit with the others
+    columns = {"path": path, "rep": rep, "size": np.full(10, 100), "component": rep}
+    batch = pa.RecordBatch.from_pydict(columns | {c: far for c in near_dup.SKETCH})
+    rows = [r for b in near_dup.open_members(iter([batch])) for r in b.to_pylist()]
+    assert [(r["a"], r["b"]) for r in rows if r["path"] is None] == [(10, 11), (10, 11)]
+    assert sorted(r["rep"] for r in rows if r["path"] is not None) == [20, 21, 22, 23, 24]
+    assert all(r["a"] is None and r["b"] is None for r in rows if r["path"] is not None)
