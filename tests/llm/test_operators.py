@@ -269,6 +269,15 @@ def test_sampled_pieces(docs):
     assert back == {i: (t or "",) for i, t in texts()}
 
 
+def test_pieces_are_found_in_short_buckets():
+    words = piece_sampling.vocabulary(PIECES)
+    n = len(words.hashes)
+    assert (words.find(words.hashes) == np.arange(n)).all()
+    absent = np.setdiff1d(words.hashes + np.uint64(1), words.hashes)
+    assert (words.find(absent) == -1).all() and len(words.find(absent[:0])) == 0
+    assert np.diff(words.bucket_first).max() < 16 and words.bucket_first[-1] == n
+
+
 def test_segmentations_come_in_proportion():
     own = piece_sampling.Sampler(PIECES)
     weights = own.words.weights
