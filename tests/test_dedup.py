@@ -1,7 +1,7 @@
 import datetime as dt
 import random
 
-from innledger.operators import silver
+from innledger.operators import dedup, silver
 from innledger.operators.dedup import dedup_latest, latest_if
 from pyspark.sql import functions as F
 
@@ -33,6 +33,30 @@ def test_copies_of_a_key_are_dropped_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+def test_only_crowded_keys_are_sorted_before_the_shuffle(spark):
+    """No other rows pass a sort of whole map tasks, which spills once these are large."""
+    df = spark.range(0, 40_000, 1, 4).selectExpr(
+        "if(id % 4 = 0, 'hot', if(id % 4 = 1, null, concat('k', id % 7000))) k", "cast(id * 7919 % 1009 as int) v",
+        "cast(id % 3 as string) w", "timestamp_ntz'2024-01-01' as _loaded_at",
+    )
+    want = {}
+    for row in df.collect():
+        want[row.k] = max(want.get(row.k, (-1, "")), (row.v, row.w))
+    assert dedup.crowded_buckets(df, ["k"], 1000).count() == 2  # that of the hot key and that of no key
+    for least in (1000, 100_000):
+        kept = dedup_latest(df, ["k"], least=least)
+        got = kept.collect()
+        assert len(got) == len(want) and {r.k: (r.v, r.w) for r in got} == want
+        odd = dedup_latest(df, ["k"], valid=F.col("v") % 2 == 1, least=least).collect()
+        assert len(odd) == df.where("v % 2 = 1").select("k").distinct().count() and all(r.v % 2 for r in odd)
+    ranked = dedup_latest(df, ["k"])._jdf.queryExecution().sparkPlan().toString()
+    assert ranked.count("BroadcastHashJoin") == 2
+    before_shuffle = [line for line in ranked.splitlines() if "WindowGroupLimit" in line and "Partial" in line]
+    assert len(before_shuffle) == 1  # the crowded keys' branch alone
+    anti = ranked[: ranked.index("LeftAnti")].splitlines()
+    assert "WindowGroupLimit" not in "".join(anti[[i for i, line in enumerate(anti) if "lag(" in line][0] :])
+
+
 def test_reservation_filter_edges(spark):
     day = dt.date(2024, 5, 2)
     base = ("g", "r", day, day, "web", NEW)
