@@ -132,7 +132,7 @@ def cut_pieces(documents: DataFrame, path: str, folder: str, size: int = SIZE, e
         cache = piece_cache(path)
         seen = np.zeros(size + 1, np.int64)
         for batch in slices(batches):
-            ids, counts = cache.encode(batch["text"].to_pylist())
+            ids, counts = cache.encode(batch["text"])
             ids = np.ascontiguousarray(with_ends(ids, counts, end_id), "<u4")
             counts = counts + 1
             pieces = -(-counts // size)

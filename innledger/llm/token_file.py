@@ -32,6 +32,8 @@ from innledger.llm.words import slices
 from innledger.session import new_folder, remove_folder
 
 END_ID = 0
+#: Bytes of text that are encoded at a time: pieces that a run has often are looked up once.
+RUN_BYTES = 1 << 21
 BLOCK = (
     "part int, before long, n_ids long, doc_id array<long>, n_tokens array<int>, "
     "control binary, data binary"
@@ -101,9 +103,9 @@ def encode_documents(documents: DataFrame, path: str, width: int, end_id: int) -
         task = TaskContext.get().partitionId()
         cache = piece_cache(path)
         place = 0
-        for batch in slices(batches):
+        for batch in slices(batches, size=RUN_BYTES):
             n = batch.num_rows
-            ids, counts = cache.encode(batch["text"].to_pylist())
+            ids, counts = cache.encode(batch["text"])
             ids = with_ends(ids, counts, end_id).astype(f"<u{width}")
             offsets = np.concatenate(([0], np.cumsum((counts + 1) * width))).astype(np.int32)
             yield pa.RecordBatch.from_pydict(
