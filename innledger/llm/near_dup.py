@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from innledger.llm.components import components
 from innledger.llm.words import CHUNK_BYTES, Packed, mixed, slices
-from innledger.session import new_folder
+from innledger.session import new_folder, remove_folder
 
 SHINGLE = 5
 PERCENT = 75
@@ -384,6 +384,10 @@ class Search:
         frame.write.mode("overwrite").parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(frame.schema).parquet(f"{self.folder}/{name}")
 
+    def dropped(self, *names: str) -> None:
+        for name in names:
+            remove_folder(self.spark, f"{self.folder}/{name}")
+
     def labelled(self, frame: DataFrame, column: str, label: str) -> DataFrame:
         known = self.labels.select(F.col("node").alias(column), F.col("component").alias("_c"))
         return frame.join(known, column, "left").withColumn(label, F.coalesce("_c", column)).drop("_c")
@@ -423,8 +427,13 @@ class Search:
             mixed_nodes = sizes.groupBy("path").agg(top, F.sum("c").alias("n")).where("top.c < n")
             mixed_nodes = mixed_nodes.select("path", F.col("top.component").alias("main"), (F.col("n") - F.col("top.c")).alias("others"))
             rest = self.kept(larger.join(mixed_nodes, "path"), f"open{depth}")
+            self.dropped(*(f"{name}{depth}" for name in ("nodes", "counted", "pairs", "guides", "level")))
             if rest.isEmpty():
                 break
+            # Later levels look at these members alone, so each pass over the texts is as long as what is still open.
+            still = rest.select("rep").distinct()
+            self.texts = self.kept(self.texts.join(still, "rep", "left_semi"), f"texts{depth + 1}")
+            self.dropped("texts" if not depth else f"texts{depth}")
             if depth == DEPTH:
                 self.settle(_blocks(self.labelled(rest, "rep", "component")))
                 break
@@ -443,11 +452,13 @@ class Search:
     def settle(self, rows: DataFrame) -> None:
         """Compares the members of bounded nodes that may be linked with another component on their full sets."""
         rows = self.labelled(rows.select(*MEMBER), "rep", "component")
-        still = self.kept(_by_node(rows, open_members, STILL), f"still{self.steps}")
+        name = f"still{self.steps}"
+        still = self.kept(_by_node(rows, open_members, STILL), name)
         if not still.isEmpty():
             pairs = still.where("path is null").select("a", "b").distinct()
             whole = still.where("path is not null").drop("a", "b").join(self.texts, "rep")
             self.connect(confirm(pairs, self.texts).unionByName(_by_node(whole, linked_members, PAIR)))
+        self.dropped(name)
 
     def connect(self, links: DataFrame) -> None:
         """Adds links and brings the components up to date: only the new links are followed, between components."""

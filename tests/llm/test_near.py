@@ -147,3 +147,28 @@ def test_thin_nodes_name_their_pairs():
     assert [(r["a"], r["b"]) for r in rows if r["path"] is None] == [(10, 11), (10, 11)]
     assert sorted(r["rep"] for r in rows if r["path"] is not None) == [20, 21, 22, 23, 24]
     assert all(r["a"] is None and r["b"] is None for r in rows if r["path"] is not None)
+
+
+def test_later_levels_read_the_texts_of_open_nodes_alone(spark, monkeypatch):
+    """Near pairs that the first level settles are in no later table of texts, so passes over texts shrink with what is open."""
+    monkeypatch.setattr(near_dup, "SMALL", 8)
+    monkeypatch.setattr(near_dup, "MIDDLE", 16)
+    monkeypatch.setattr(near_dup, "DEPTH", 2)
+    tables = {}
+    kept = near_dup.Search.kept
+
+    def noted(self, frame, name):
+        out = kept(self, frame, name)
+        if name.startswith(("texts", "open")):
+            tables[name] = {r.rep for r in out.select("rep").collect()}
+        return out
+
+    monkeypatch.setattr(near_dup.Search, "kept", noted)
+    rng = random.Random(4)
+    centre = " ".join(rng.choices(WORDS, k=100))
+    rows = [(i, edited(rng, centre, rng.choice([1, 2, 3, 4, 7, 9]))) for i in range(120)]
+    pairs = [(1000 + 2 * i, " ".join(rng.choices(WORDS, k=100))) for i in range(10)]
+    rows += pairs + [(i + 1, edited(rng, t, 1)) for i, t in pairs]
+    assert found(spark, rows) == groups_of(rows)
+    assert any(i >= 1000 for i in tables["texts"])
+    assert tables["open0"] and tables["texts1"] == tables["open0"]
